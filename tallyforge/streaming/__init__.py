@@ -1,0 +1 @@
+"""Reserved. The feature set is batch only: there is no stream source, watermark or state to offer."""
