@@ -57,6 +57,12 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
+def money_ratio(numerator: Column, denominator: Column) -> Column:
+    """Division of two amounts with 14 fraction digits. Eighteen digits before the point are enough for
+    any sum of money, and the room they free goes to the quotient."""
+    return F.try_divide(numerator.cast("decimal(24,6)"), denominator.cast("decimal(24,6)"))
+
+
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator, denominator), F.lit(0))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
-from ..functions.numbers import MEASURE, ratio, ratio_or_zero
+from ..functions.numbers import MEASURE, money_ratio, ratio, ratio_or_zero
 from .model import MEASURES, fold
 
 BUNDLE = [*MEASURES, "completed_orders", "purchasing_customers", "aov", "unit_return_rate"]
@@ -79,7 +79,7 @@ def grand_total(groups: DataFrame, value: str) -> Column:
 def with_share(groups: DataFrame, value: str = "net_sales", name: str = "net_sales_share") -> DataFrame:
     """Part of the grand total, NULL when that is zero. The groups stay distributed however many there
     are."""
-    return groups.withColumn(name, ratio(F.col(value), grand_total(groups, value).cast(MEASURE)))
+    return groups.withColumn(name, money_ratio(F.col(value), grand_total(groups, value)))
 
 
 def summary(sales: DataFrame, by: Sequence[str], *, grain: str = "line") -> DataFrame:
@@ -106,14 +106,14 @@ def monthly_summary(sales: DataFrame, spine: DataFrame, *, grain: str = "order",
     rows only, one per month of the window."""
     monthly = on_spine(spine, summary(sales, ["month_start"], grain=grain))
     by_month = W.orderBy("month_start")
-    divide = ratio_or_zero if zero_default else ratio
     previous = F.lag("net_sales").over(by_month)
+    growth = money_ratio(F.col("net_sales") - previous, previous)
     result = monthly.withColumns(
         {
             "order_month": month_key(F.col("month_start")),
             "net_sales_share": F.coalesce("net_sales_share", F.lit(0)),
             "previous_net_sales": previous,
-            "mom_growth": divide(F.col("net_sales") - previous, previous),
+            "mom_growth": F.coalesce(growth, F.lit(0)) if zero_default else growth,
             "trailing_3_month_avg": trailing_mean("net_sales", by_month),
         }
     )
@@ -143,7 +143,7 @@ def trend(order_sales: DataFrame, spine: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "net_aov": ratio(F.col("net_sales"), orders),
-                "mom_net_sales_growth": ratio(F.col("net_sales") - prior_sales, prior_sales),
+                "mom_net_sales_growth": money_ratio(F.col("net_sales") - prior_sales, prior_sales),
                 "mom_order_growth": ratio((orders - prior_orders).cast("decimal(18,6)"), prior_orders),
                 "running_net_sales": F.sum("net_sales").over(by_month.rowsBetween(W.unboundedPreceding, 0)).cast(MEASURE),
                 "moving_average_3_months": trailing_mean("net_sales", by_month),

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import RunConfig
-from ..functions.numbers import MEASURE, ratio, ratio_or_zero
+from ..functions.numbers import MEASURE, money_ratio, ratio, ratio_or_zero
 from ..operators.ranking import global_dense_rank, sequence_in_group, top_per_group, top_values
 from .metrics import BUNDLE, finish, grand_total, metrics, monthly_summary, on_spine, summary, trend, with_share
 from .model import (
@@ -183,7 +183,7 @@ def repeat_customers(model: Model, config: RunConfig, *, keep_empty: bool = True
         "repeat_customers",
         ratio(F.col("repeat_customers").cast("decimal(18,6)"), F.col("purchasing_customers")).alias("repeat_customer_rate"),
         "repeat_customer_net_sales",
-        ratio(F.col("repeat_customer_net_sales"), F.col("_all")).alias("repeat_customer_sales_share"),
+        money_ratio(F.col("repeat_customer_net_sales"), F.col("_all")).alias("repeat_customer_sales_share"),
     )
 
 
@@ -222,7 +222,7 @@ def returning_at_purchase(model: Model, config: RunConfig) -> DataFrame:
         F.sum("net").cast(MEASURE).alias("net_sales"),
         F.sum("later").cast(MEASURE).alias("returning_at_purchase_net_sales"),
     )
-    share = ratio(F.col("returning_at_purchase_net_sales"), F.col("net_sales"))
+    share = money_ratio(F.col("returning_at_purchase_net_sales"), F.col("net_sales"))
     filled = on_spine(_spine(model, config), folded.withColumn("returning_at_purchase_share", share))
     zero = F.coalesce("returning_at_purchase_net_sales", F.lit(0).cast(MEASURE))
     return filled.withColumn("returning_at_purchase_net_sales", zero).orderBy("month_start")

@@ -16,18 +16,27 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig, retail_tables
 
-LAKE_REGIONS = ("Africa", "America", "Asia", "Europe", "Middle East")
-LAKE_SEGMENTS = ("Automobile", "Building", "Furniture", "Household", "Machinery")
+# The words of the lake's schema.
+LAKE_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+LAKE_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def _tables(word):
+    regions, segments = tuple(map(word, LAKE_REGIONS)), tuple(map(word, LAKE_SEGMENTS))
+    return retail_tables(regions=regions, segments=segments, id_lengths=(13, 13, 13, 14, 15))
+
 
 # Seven calendar years; the last months hold no order, which exercises gap filling.
 LAKE_CONFIG = RunConfig(
-    tables=retail_tables(regions=LAKE_REGIONS, segments=LAKE_SEGMENTS, id_lengths=(13, 13, 13, 14, 15)),
+    tables=_tables(str),
     order_from=date(1995, 1, 1),
     order_before=date(2002, 1, 1),
     return_cutoff=date(2001, 8, 31),
 )
-# The dirty view is cleaned against a shorter window, so that late orders fall outside.
-LAKE_DIRTY_CONFIG = LAKE_CONFIG.with_(order_before=date(2001, 1, 1), return_cutoff=date(2001, 1, 30))
+# The dirty view is cleaned to title case and against a shorter window, so that late orders fall outside.
+LAKE_DIRTY_CONFIG = LAKE_CONFIG.with_(
+    tables=_tables(str.title), order_before=date(2001, 1, 1), return_cutoff=date(2001, 1, 30)
+)
 
 LINE_ID = (
     "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),"
