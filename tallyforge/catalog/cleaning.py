@@ -23,9 +23,7 @@ CONFIG = plain.CONFIG
 @lru_cache(maxsize=8)
 def _labelled(spark: SparkSession, sf_dir: str, dialect: str) -> dict[str, DataFrame]:
     """The labelled tables, cleaned once per session and folder: reports read the stored result."""
-    settle = settler(spark)
-    frames = clean_all(raw_tables(spark, sf_dir), CONFIG.with_(dialect=dialect), settle)
-    return {**frames, "returns": settle("returns", frames["returns"])}
+    return clean_all(raw_tables(spark, sf_dir), CONFIG.with_(dialect=dialect), settler(spark))
 
 
 def _log(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:

@@ -240,6 +240,6 @@ def clean_all(raw: Mapping[str, DataFrame], config: RunConfig, settle=None) -> d
     parents: dict[str, DataFrame] = {}
     for spec in config.tables:
         frame = clean_table(raw[spec.name], spec, parents, config, settle)
-        labelled[spec.name] = settle(spec.name, frame) if settle and spec.name != "returns" else frame
+        labelled[spec.name] = settle(spec.name, frame) if settle else frame
         parents[spec.name] = accepted(labelled[spec.name], spec)
     return labelled

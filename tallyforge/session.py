@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +42,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = os.path.join("/tmp", "tallyforge-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = os.path.join(tempfile.gettempdir(), "tallyforge")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
