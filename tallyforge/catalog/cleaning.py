@@ -26,6 +26,11 @@ def _labelled(spark: SparkSession, sf_dir: str, dialect: str) -> dict[str, DataF
     return clean_all(raw_tables(spark, sf_dir), CONFIG.with_(dialect=dialect), settler(spark))
 
 
+def forget() -> None:
+    """Drop the stored cleaning results, so that the next report cleans again."""
+    _labelled.cache_clear()
+
+
 def _log(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
     """The disposition log with row numbers as text, because lines carry 38-digit ones."""
     frames = _labelled(spark, sf_dir, dialect)

@@ -14,7 +14,7 @@ from ..operators import audit, compare
 from ..operators.clean import accepted
 from ..plans import checks, reports
 from ..plans import model as facts
-from ..session import shared_dir
+from ..session import settler, shared_dir
 from ..sources import csv, files
 from ..sources.lake import model_tables, raw_tables
 from . import cleaning_sql as plain
@@ -137,13 +137,14 @@ def date_parts(spark, sf_dir):
 # ------------------------------------------------------------------ checks
 
 
-def _model_check(name: str, sql: str):
-    """Register a check that takes (model, config)."""
+def _model_check(name: str, sql: str, *, stored: bool = False):
+    """Register a check over the model; ``stored`` facts serve checks that read them many times."""
 
     def register(build):
-        @query(name, with_model(sql) if sql else None)
+        @query(name, with_model(sql))
         def run(spark, sf_dir):
-            return build(model_tables(spark, sf_dir))
+            model = model_tables(spark, sf_dir)
+            return build(facts.prepared(model, CONFIG, settler(spark)) if stored else model)
 
         return build
 
@@ -277,7 +278,7 @@ _RECONCILE = " UNION ALL ".join(
 )
 
 
-@_model_check("reconcile_summaries", _RECONCILE)
+@_model_check("reconcile_summaries", _RECONCILE, stored=True)
 def reconcile_summaries(model):
     return checks.reconcile_summaries(model, CONFIG)
 
@@ -299,7 +300,7 @@ _CALENDAR = _check_sql(
 
 
 @_model_check("validation_checks", " UNION ALL ".join(
-    f"({part})" for part in [_UNIQUE, _FANOUT, _GRAIN, _HAVE_LINES, _FOREIGN, _BOUNDED, _RECONCILE_RETURNS, _IDENTITY, _CALENDAR, _RECONCILE, _TOTALS]))
+    f"({part})" for part in [_UNIQUE, _FANOUT, _GRAIN, _HAVE_LINES, _FOREIGN, _BOUNDED, _RECONCILE_RETURNS, _IDENTITY, _CALENDAR, _RECONCILE, _TOTALS]), stored=True)
 def validation_checks(model):
     """Every check of a run in one frame."""
     return checks.all_checks(model, CONFIG)
@@ -521,7 +522,8 @@ _ANNUAL = with_model(
 def json_summary(spark, sf_dir):
     """The nested business summary written as JSON and read back."""
     path = shared_dir(spark, "summary")
-    files.write_json(reports.business_summary(model_tables(spark, sf_dir), CONFIG), path)
+    model = facts.prepared(model_tables(spark, sf_dir), CONFIG, settler(spark))
+    files.write_json(reports.business_summary(model, CONFIG), path)
     schema = (
         "analysis_period STRING, kpis STRUCT<completed_orders: BIGINT, purchasing_customers: BIGINT, sold_units: BIGINT, returned_units: BIGINT,"
         " net_sales: STRING, cancelled_orders_excluded: BIGINT>, findings MAP<STRING, STRUCT<member: STRING, value: STRING>>"

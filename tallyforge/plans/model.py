@@ -126,10 +126,11 @@ def completed_orders(model: Model, config: RunConfig) -> DataFrame:
     ).select("order_id", "customer_id", "order_date", month_start(F.col("order_date")).alias("month_start"), "channel")
 
 
-def sales_lines(model: Model, config: RunConfig, *, lines: DataFrame | None = None) -> DataFrame:
+def sales_lines(model: Model, config: RunConfig) -> DataFrame:
     """One row per line of a completed order with product attributes and measures."""
-    base = _returned_lines(model, config) if lines is None else lines
-    joined = base.join(completed_orders(model, config), "order_id").join(
+    if "sales_lines" in model:
+        return model["sales_lines"]
+    joined = _returned_lines(model, config).join(completed_orders(model, config), "order_id").join(
         model["products"].select("product_id", "product_name", "category"), "product_id"
     )
     return _with_measures(joined).select(
@@ -141,6 +142,8 @@ def sales_lines(model: Model, config: RunConfig, *, lines: DataFrame | None = No
 def order_totals(model: Model, config: RunConfig) -> DataFrame:
     """Line measures folded to one row per order id. Partial aggregation runs before the shuffle, so an
     order with very many lines weighs no more than any other."""
+    if "order_totals" in model:
+        return model["order_totals"]
     return _fold(_with_measures(_returned_lines(model, config)), ["order_id"])
 
 
@@ -175,6 +178,13 @@ def with_derived(folded: DataFrame) -> DataFrame:
 fold = _fold
 
 
+def prepared(model: Model, config: RunConfig, settle) -> Model:
+    """The model with its two facts stored. Many reports over one model then share one pass over the
+    lines; ``settle(name, frame)`` writes a frame and returns the stored copy."""
+    lines = settle("sales_lines", sales_lines(model, config))
+    return {**model, "sales_lines": lines, "order_totals": settle("order_totals", _fold(lines, ["order_id"]))}
+
+
 def register_views(spark: SparkSession, model: Model, config: RunConfig) -> None:
     """Session views for SQL users."""
     sales_lines(model, config).createOrReplaceTempView("line_sales")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..functions.numbers import MEASURE, money_ratio, ratio, ratio_or_zero
 from ..operators.ranking import global_dense_rank, sequence_in_group, top_per_group, top_values
+from ..session import settler
 from .metrics import BUNDLE, finish, grand_total, metrics, monthly_summary, on_spine, summary, trend, with_share
 from .model import (
     MEASURES, Model, _returned_lines, _with_measures, completed_orders, fold, measures, months, order_sales,
@@ -100,10 +101,10 @@ def product_summary(model: Model, config: RunConfig) -> DataFrame:
 
 
 def product_summary_ranked(model: Model, config: RunConfig) -> DataFrame:
-    """All products with their global dense rank by net sales."""
-    return global_dense_rank(
-        product_summary(model, config), "net_sales", ["product_id"], "net_sales_rank", config.skew
-    )
+    """All products with their global dense rank by net sales. The summary is stored first, since the
+    ranking reads it three times."""
+    products = settler(model["products"].sparkSession)("product_summary", product_summary(model, config))
+    return global_dense_rank(products, "net_sales", ["product_id"], "net_sales_rank", config.skew)
 
 
 def top_products(model: Model, config: RunConfig, ranks: int = 5) -> DataFrame:

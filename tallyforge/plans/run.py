@@ -20,7 +20,7 @@ from ..operators.compare import expected_vs_actual
 from ..session import tune
 from ..sources import csv, files
 from . import checks, reports
-from .model import line_facts, register_views
+from .model import line_facts, prepared, register_views
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,10 @@ def run(
     quality = _stored(spark, audit.quality_summary(labelled), f"{out_folder}/analysis/quality_summary")
     if csv_outputs:
         write_evidence(labelled, out_folder, config)
-    write_summaries(spark, model, out_folder, config)
+    write_facts(spark, model, out_folder, config)
+    model = prepared(model, config, lambda name, frame: _stored(spark, frame, f"{out_folder}/facts/{name}"))
+    for name, build in SUMMARIES.items():
+        build(model, config).write.mode("overwrite").parquet(f"{out_folder}/analysis/{name}")
     register_views(spark, model, config)
 
     results = checks.all_checks(model, config, quality)
@@ -107,9 +110,7 @@ def write_evidence(labelled: Mapping[str, DataFrame], out_folder: str, config: R
         csv.write_csv(audit.duplicate_rows(labelled[t.name], t), f"{out_folder}/rejected/duplicates_{t.name}.csv")
 
 
-def write_summaries(spark: SparkSession, model: Mapping[str, DataFrame], out_folder: str, config: RunConfig) -> None:
+def write_facts(spark: SparkSession, model: Mapping[str, DataFrame], out_folder: str, config: RunConfig) -> None:
     facts = _stored(spark, line_facts(model, config), f"{out_folder}/analysis/fact_order_lines")
     sales = facts.filter(F.col("include_in_sales_kpi"))
     sales.write.mode("overwrite").parquet(f"{out_folder}/analysis/sales_fact_completed")
-    for name, build in SUMMARIES.items():
-        build(model, config).write.mode("overwrite").parquet(f"{out_folder}/analysis/{name}")

@@ -25,9 +25,9 @@ class EmptyInputError(ValueError):
 
 
 def check_header(spark: SparkSession, path: str, columns: list[str]) -> None:
-    """Compare the header of every file under ``path``; only header lines are looked at."""
+    """Compare the header before any scan. Further files of a folder are checked while they are read."""
     found = spark.read.option("header", True).option("enforceSchema", False).csv(path).columns
-    if found and found[0].startswith("﻿"):
+    if found and found[0].startswith("\ufeff"):
         found = [found[0][1:], *found[1:]]
     if "source_row" in found and "source_row" not in columns:
         raise HeaderError("raw input must not already contain source_row")

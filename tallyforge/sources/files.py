@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 
 
-def file_digests(spark: SparkSession, pattern: str) -> DataFrame:
-    """Path, SHA-256 and size of every matching file. A digest needs a file's whole bytes in one task, so
-    this is meant for delivery files, not for tables of unbounded single-file size."""
-    return (
-        spark.read.format("binaryFile")
-        .load(pattern)
-        .select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
-    )
+# A digest reads a file's bytes in order, so it is one task's work and bound by the largest byte array.
+DIGEST_LIMIT = 2_000_000_000
+
+
+def file_digests(spark: SparkSession, pattern: str, limit: int = DIGEST_LIMIT) -> DataFrame:
+    """Path, SHA-256 and size of every matching file. Files above ``limit`` bytes are listed without a
+    digest and their content is not read; the size filter reaches the source."""
+    found = spark.read.format("binaryFile").load(pattern)
+    digested = found.filter(F.col("length") <= limit).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    listed = found.filter(F.col("length") > limit).select("path", F.lit(None).cast("string").alias("sha256"), F.col("length").alias("bytes"))
+    return digested.unionByName(listed)
 
 
 def source_manifest(spark: SparkSession, folder: str, raw: Mapping[str, DataFrame], config: RunConfig) -> DataFrame:

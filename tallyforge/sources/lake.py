@@ -64,7 +64,7 @@ def read(spark: SparkSession, sf_dir: str, table: str, columns: list[str] | None
         return frame
     frame = frame.select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    return frame.repartition(cores, *columns) if frame.rdd.getNumPartitions() < cores else frame
 
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
