@@ -9,11 +9,11 @@ from tallyforge.config import SkewPolicy
 from tallyforge.operators import audit
 from tallyforge.operators.clean import clean_table
 
-# Both ways through the skew-aware join must agree: nothing hot, and everything hot.
-POLICIES = [SkewPolicy(), SkewPolicy(hot_rows=0, hot_keys=1000), SkewPolicy(hot_rows=0, hot_keys=1)]
+# Both ways through the skew-aware join must agree: nothing hot, and one key hot among cold ones.
+POLICIES = [SkewPolicy(), SkewPolicy(hot_rows=0, hot_keys=1)]
 
 
-@pytest.fixture(params=POLICIES, ids=["cold", "hot", "mixed"])
+@pytest.fixture(params=POLICIES, ids=["cold", "mixed"])
 def config(request):
     return CONFIG.with_(skew=request.param)
 

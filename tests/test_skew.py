@@ -32,7 +32,11 @@ def test_group_stats_equal_brute_force(rows, policy):
 def test_hot_rows_land_on_many_partitions(spark, rows):
     """With shuffled joins forced, the rows of the hot key leave the join on more than one partition."""
     _, frame = rows
-    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    off = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
     old = {k: spark.conf.get(k) for k in off}
     for k, v in off.items():
         spark.conf.set(k, v)
