@@ -82,7 +82,7 @@ def title_case(spark, sf_dir):
 
 
 @query("text_pieces", _raw_sql("products", "left(list_price, 1) AS first_char, right(list_price, 2) AS last_two,"
-       " substr(product_name, 2, 3) AS middle, length(rtrim(product_name)) AS length_without_blanks,"
+       " substr(product_name, 2, 3) AS middle, CAST(length(rtrim(product_name)) AS INT) AS length_without_blanks,"
        " replace(list_price, '$', '') AS without_sign, regexp_matches(list_price, '^[0-9]') AS starts_with_digit,"
        " nullif(trim(product_name), '') AS cleaned"))
 def text_pieces(spark, sf_dir):

@@ -19,20 +19,39 @@ ACCEPTED, DUPLICATE, REJECTED = "Accepted", "Duplicate", "Rejected"
 # Reasons for whole rows.
 COPY_REASON = "duplicate business record (source row excluded)"
 CONFLICT_REASON = "conflicting business records for key"
+PARENT_REASON = "unknown or rejected"
+UNKNOWN_LINE_REASON = "order_line_id: unknown or rejected line"
+NOT_COMPLETED_REASON = "order_id: return requires completed order"
+TOO_EARLY_REASON = "return_date: precedes order date"
+TOO_LATE_REASON = "return_date: after {cutoff} cutoff"
+TOO_MANY_REASON = "return_quantity: event exceeds purchased quantity"
 CUMULATIVE_REASON = (
     "return_quantity: cumulative valid events exceed purchased quantity; whole group quarantined"
 )
 RAGGED_REASON = "record: field count differs from header"
 
-# First-match reasons of the SQL dialect.
+# Reasons of the SQL dialect, of which a row gets the first that applies.
 SQL_COPY_REASON = "Exact duplicate of original business fields"
 SQL_CONFLICT_REASON = "Conflicting records share a normalized business key"
+SQL_BAD_KEY = "Invalid {}"
+SQL_BAD_TEXT = "Missing or overlength {}"
+SQL_UNKNOWN_WORD = "Unrecognized {}"
+SQL_ORPHAN = "Unknown or rejected {}"
+SQL_BAD_PRICE = "{} must be a positive number"
+SQL_BAD_COUNT = "{} must be a positive integer"
+SQL_BAD_RATE = "Discount must be between zero and one"
+SQL_TOO_PRECISE = "{} is outside the model precision"
+SQL_BAD_DATE = "Invalid {} date: require ISO yyyy-MM-dd or US MM/dd/yyyy"
+SQL_OUTSIDE_WINDOW = "Order date is outside {}"
+SQL_NOT_COMPLETED = "Returns require a completed order"
+SQL_TOO_EARLY = "Return date precedes order date"
+SQL_TOO_LATE = "Return date is after the {} cutoff"
+SQL_TOO_MANY = "Individual return quantity exceeds purchased units"
 SQL_CUMULATIVE_REASON = (
     "Cumulative otherwise-valid returns exceed purchased units; review all events on line"
 )
 
 
-
 def clean_table(
     raw: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame], config: RunConfig, settle=None
 ) -> DataFrame:
@@ -92,7 +111,7 @@ def row_findings(spec: TableSpec, config: RunConfig) -> list[Finding]:
     found.append(Finding(F.col("_key_conflict"), f"{spec.key}: {CONFLICT_REASON}"))
     for parent in spec.parents:
         unknown = ~F.col(f"_has_{parent.table}")
-        found.append(Finding(unknown, f"{parent.column}: unknown or rejected {parent.noun}"))
+        found.append(Finding(unknown, f"{parent.column}: {PARENT_REASON} {parent.noun}"))
     if spec.name == "returns":
         found += return_findings(config)
     return found
@@ -103,13 +122,13 @@ def return_findings(config: RunConfig) -> list[Finding]:
     known = F.col("_l").isNotNull()
     day, cutoff = F.col("return_date"), config.return_cutoff
     return [
-        Finding(~known, "order_line_id: unknown or rejected line"),
-        Finding(known & (F.col("_status") != config.sale_status), "order_id: return requires completed order"),
-        Finding(known & (day < F.col("_ordered")), "return_date: precedes order date"),
-        Finding(known & (day > F.lit(cutoff)), f"return_date: after {cutoff.isoformat()} cutoff"),
+        Finding(~known, UNKNOWN_LINE_REASON),
+        Finding(known & (F.col("_status") != config.sale_status), NOT_COMPLETED_REASON),
+        Finding(known & (day < F.col("_ordered")), TOO_EARLY_REASON),
+        Finding(known & (day > F.lit(cutoff)), TOO_LATE_REASON.format(cutoff=cutoff.isoformat())),
         Finding(
             known & (F.col("return_quantity") > F.col("_bought")),
-            "return_quantity: event exceeds purchased quantity",
+            TOO_MANY_REASON,
         ),
     ]
 
@@ -157,30 +176,29 @@ def sql_findings(spec: TableSpec, config: RunConfig) -> list[Finding]:
     def bad_key() -> Finding:
         limit = spec.field(spec.key).length
         key = F.col(spec.key)
-        return Finding((key == "") | longer_than(key, limit), f"Invalid {spec.key_noun}")
+        return Finding((key == "") | longer_than(key, limit), SQL_BAD_KEY.format(spec.key_noun))
 
     def bad_text(name: str, noun: str) -> Finding:
         value = F.col(name)
         long = longer_than(value, spec.field(name).max_length)
-        return Finding((value == "") | long, f"Missing or overlength {noun}")
+        return Finding((value == "") | long, SQL_BAD_TEXT.format(noun))
 
     def unknown(name: str, noun: str) -> Finding:
-        return Finding(F.col(name).isNull(), f"Unrecognized {noun}")
+        return Finding(F.col(name).isNull(), SQL_UNKNOWN_WORD.format(noun))
 
     def orphan(parent: str, noun: str) -> Finding:
-        return Finding(~F.col(f"_has_{parent}"), f"Unknown or rejected {noun}")
+        return Finding(~F.col(f"_has_{parent}"), SQL_ORPHAN.format(noun))
 
     def price(name: str, noun: str) -> list[Finding]:
         number = F.col(f"_n_{name}")
         return [
-            Finding(number.isNull() | (number <= 0), f"{noun} must be a positive number"),
-            Finding(~numbers.fits(number, numbers.MONEY), f"{noun} is outside the model precision"),
+            Finding(number.isNull() | (number <= 0), SQL_BAD_PRICE.format(noun)),
+            Finding(~numbers.fits(number, numbers.MONEY), SQL_TOO_PRECISE.format(noun)),
         ]
 
     def count(name: str, noun: str) -> Finding:
-        return Finding(F.col(name).isNull(), f"{noun} must be a positive integer")
+        return Finding(F.col(name).isNull(), SQL_BAD_COUNT.format(noun))
 
-    shape = "require ISO yyyy-MM-dd or US MM/dd/yyyy"
     found = [
         Finding(F.col("ragged"), RAGGED_REASON),
         Finding(F.col("_key_conflict"), SQL_CONFLICT_REASON),
@@ -195,8 +213,8 @@ def sql_findings(spec: TableSpec, config: RunConfig) -> list[Finding]:
         day = F.col("order_date")
         inside = (day >= F.lit(config.order_from)) & (day < F.lit(config.order_before))
         found += [
-            Finding(day.isNull(), f"Invalid order date: {shape}"),
-            Finding(~inside, f"Order date is outside {config.window_label}"),
+            Finding(day.isNull(), SQL_BAD_DATE.format("order")),
+            Finding(~inside, SQL_OUTSIDE_WINDOW.format(config.window_label)),
             orphan("customers", "customer"),
             unknown("channel", "channel"),
             unknown("status", "order status"),
@@ -206,20 +224,20 @@ def sql_findings(spec: TableSpec, config: RunConfig) -> list[Finding]:
         found += [orphan("orders", "order"), orphan("products", "product"), count("quantity", "Quantity")]
         found += price("unit_price", "Unit price")
         found += [
-            Finding(rate.isNull() | ~rate.between(0, 1), "Discount must be between zero and one"),
-            Finding(~numbers.fits(rate, numbers.RATE), "Discount is outside the model precision"),
+            Finding(rate.isNull() | ~rate.between(0, 1), SQL_BAD_RATE),
+            Finding(~numbers.fits(rate, numbers.RATE), SQL_TOO_PRECISE.format("Discount")),
         ]
     else:
         day, cutoff = F.col("return_date"), config.return_cutoff
         found += [
-            Finding(F.col("_l").isNull(), "Unknown or rejected order line"),
-            Finding(F.col("_status") != config.sale_status, "Returns require a completed order"),
-            Finding(day.isNull(), f"Invalid return date: {shape}"),
-            Finding(day < F.col("_ordered"), "Return date precedes order date"),
-            Finding(day > F.lit(cutoff), f"Return date is after the {cutoff.isoformat()} cutoff"),
+            Finding(F.col("_l").isNull(), SQL_ORPHAN.format("order line")),
+            Finding(F.col("_status") != config.sale_status, SQL_NOT_COMPLETED),
+            Finding(day.isNull(), SQL_BAD_DATE.format("return")),
+            Finding(day < F.col("_ordered"), SQL_TOO_EARLY),
+            Finding(day > F.lit(cutoff), SQL_TOO_LATE.format(cutoff.isoformat())),
             count("return_quantity", "Return quantity"),
             Finding(
-                F.col("return_quantity") > F.col("_bought"), "Individual return quantity exceeds purchased units"
+                F.col("return_quantity") > F.col("_bought"), SQL_TOO_MANY
             ),
             bad_text("reason", "return reason"),
         ]
