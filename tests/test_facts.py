@@ -156,3 +156,14 @@ def test_calendar(spark):
     days = facts.calendar(spark, CONFIG)
     assert days.count() == 365 and days.select("month_start").distinct().count() == 12
     assert days.first()["month_name"] == "Jan"
+
+
+def test_reports_on_a_shop_without_sales(shop):
+    empty = {**shop, "order_lines": shop["order_lines"].filter("1 = 0"), "returns": shop["returns"].filter("1 = 0")}
+    for report in (reports.product_summary_ranked, reports.top_products, reports.category_summary, reports.refund_by_reason):
+        assert report(empty, CONFIG).count() == 0
+    months = reports.monthly(empty, CONFIG).collect()
+    assert len(months) == 12 and {(r["net_sales"], r["mom_growth"], r["net_sales_share"]) for r in months} == {(0, None, 0)}
+    assert by(reports.customer_summary(empty, CONFIG), "customer_id", "net_sales", "is_repeat_customer")["C1"] == (0, False)
+    repeat = reports.repeat_customers(empty, CONFIG, keep_empty=False).first()
+    assert (repeat["purchasing_customers"], repeat["repeat_customer_rate"]) == (0, None)
