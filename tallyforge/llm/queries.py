@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import quality, sharding
+from tallyforge.llm import html, quality, sharding, warc
 from tallyforge.llm.common import table
 from tallyforge.session import tune
 
@@ -38,3 +38,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics and verdict of every document."""
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *quality.METRICS, "base_failed", "kept", "posterior")
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_warc")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back."""
+    found = warc.archive(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
