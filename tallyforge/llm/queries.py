@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import html, quality, sharding, warc
+from tallyforge.llm import embeddings, html, quality, sharding, warc
 from tallyforge.llm.common import table
 from tallyforge.session import tune
 
@@ -46,6 +46,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op9_embedding_near_dedup")
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal labels."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 @query("op10_warc")
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back."""
