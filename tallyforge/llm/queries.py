@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import embeddings, html, quality, sharding, warc
+from tallyforge.llm import bpe, embeddings, html, quality, sharding, warc
 from tallyforge.llm.common import table
 from tallyforge.session import tune
 
@@ -46,6 +46,15 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op8_byte_bpe")
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text, and what they decode to."""
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.tokenize(table(spark, sf_dir, "documents"), str(vocabulary), public_tokenizers.PATTERN)
+
+
 @query("op9_embedding_near_dedup")
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors of equal labels."""
