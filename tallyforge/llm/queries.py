@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import bpe, embeddings, html, quality, sharding, warc
+from tallyforge.llm import bpe, embeddings, html, jaccard, quality, sharding, warc
 from tallyforge.llm.common import table
 from tallyforge.session import tune
 
@@ -46,6 +46,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op7_ngram_jaccard_join")
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-equal documents."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @query("op8_byte_bpe")
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, and what they decode to."""
