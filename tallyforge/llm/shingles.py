@@ -70,7 +70,8 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     edges = np.flatnonzero(np.diff(np.concatenate(([True], blank)).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     up, down = _scale(len(buffer))
-    sums = np.concatenate(([0], np.cumsum(_LETTER[_LOWER[buffer]] * up[: len(buffer)], dtype=np.uint64))).astype(np.uint64)
+    sums = np.zeros(len(buffer) + 1, np.uint64)
+    np.cumsum(_LETTER[_LOWER[buffer]] * up[: len(buffer)], dtype=np.uint64, out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * down[starts])
     begin = np.cumsum([0] + [len(t) + 1 for t in texts])
     return buffer, starts, ends, hashes, np.searchsorted(starts, begin)
