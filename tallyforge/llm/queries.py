@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import bpe, embeddings, html, jaccard, quality, repeats, sharding, warc
+from tallyforge.llm import bpe, embeddings, html, jaccard, licenses, packing, quality, repeats, sharding, warc
 from tallyforge.llm.common import table
 from tallyforge.session import tune
 
@@ -46,12 +46,24 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op5_suffix_array_dedup")
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated 400-byte strings leave of every document."""
     return repeats.remove(table(spark, sf_dir, "documents"))
 
 
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query("op7_ngram_jaccard_join")
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-equal documents."""

@@ -18,6 +18,9 @@ _BASE = int(_random.integers(1, 1 << 63, dtype=np.uint64)) * 2 + 1 & _MASK
 _PLACE = _random.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
+# Of words for comparing wording: runs of ASCII letters, digits and anything beyond ASCII.
+PLAIN = np.ones(256, bool)
+PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -62,11 +65,11 @@ def portions(column: pa.Array) -> Iterator[list[bytes]]:
         yield texts
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(texts: list[bytes], blanks: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all texts joined by blanks: the joined bytes, where words start and end, a hash of each word in
     lower case (A-Z only), and the index of the first word of each text (and one past the last)."""
     buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    blank = _BLANK[buffer]
+    blank = blanks[buffer]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], blank)).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     up, down = _scale(len(buffer))
