@@ -26,7 +26,7 @@ SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest
 
 MANIFEST = "file string, part int, records long, bytes long, sha256 string, first_page long, last_page long"
 FOUND = (
-    "page_id long, seq long, url string, payload_bytes long, payload_digest string, record_type string,"
+    "page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
     " refers_to long, file string, position long"
 )
 
@@ -44,28 +44,30 @@ def _number(value) -> str:
     return "" if value is None else str(value)
 
 
-def record(row: dict, date: str) -> bytes:
-    """One record, headers and block, uncompressed. Everything follows from the row and ``date``, so a
-    task that runs twice writes the same bytes."""
-    payload, revisit = row["payload"] or b"", row["kind"] == "revisit"
-    identity = f"{_number(row['page_id'])}\n{row['seq']}\n{row['sha1']}"
+def _identity(page_id, digest: str, repeat: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{_number(page_id)} {digest} {repeat}')}>"
+
+
+def record(page_id, url: str | None, payload: bytes, repeat: int, revisits: bool, refers_to, date: str) -> bytes:
+    """One record, headers and block, uncompressed. ``repeat`` counts rows of the same id and payload.
+    Everything follows from the arguments, so a task that runs twice writes the same bytes."""
+    digest = hashlib.sha1(payload).hexdigest()
     headers = {
-        "WARC-Type": row["kind"],
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, identity)}>",
+        "WARC-Type": "revisit" if revisits else "response",
+        "WARC-Record-ID": _identity(page_id, digest, repeat),
         "WARC-Date": date,
-        "WARC-Target-URI": re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", row["url"] or "") or "urn:none",
-        "WARC-Payload-Digest": f"sha1:{row['sha1']}",
+        "WARC-Target-URI": re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "") or "urn:none",
+        "WARC-Payload-Digest": f"sha1:{digest}",
         "WARC-Identified-Payload-Type": "text/html",
     }
-    if revisit:
-        first = f"{_number(row['refers_to'])}\n{row['refers_seq']}\n{row['sha1']}"
+    if revisits:
         headers["WARC-Profile"] = SAME_PAYLOAD
-        headers["WARC-Refers-To"] = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, first)}>"
-        headers["X-Refers-To-Page"] = _number(row["refers_to"])
-    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['size']}\r\n\r\n".encode()
-    block = head if revisit else head + payload
+        headers["WARC-Refers-To"] = _identity(refers_to, digest, 0)
+        headers["X-Refers-To-Page"] = _number(refers_to)
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    block = head if revisits else head + payload
     headers |= {
-        "X-Page": _number(row["page_id"]), "X-Sequence": str(row["seq"]),
+        "X-Page": _number(page_id),
         "WARC-Block-Digest": f"sha1:{hashlib.sha1(block).hexdigest()}",
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": str(len(block)),
@@ -119,62 +121,60 @@ def write(
 
     Rows are sorted by page id over range partitions; each part rolls its files by compressed size. Of
     rows with equal payloads of at least ``least_revisit`` bytes the one with the largest page id becomes
-    a response and the others revisit it; all other rows are responses. Which row that is comes from a
-    partially aggregated maximum over (page id, running number), joined back: equal payloads never meet
-    in one task with their texts.
+    a response and the others revisit it; all other rows are responses. Who revisits whom is found on
+    digests alone, with a partially aggregated maximum. Those findings then travel through the same sort
+    as the pages, each right before its page, so a page's text is shuffled once.
 
-    A null payload is empty. Null page ids sort first and never are the largest; of repeated rows with
-    the same page id one is the response. An empty table writes no archive and an empty manifest. Other
-    columns are left out, whatever their names.
+    A null payload is empty. Null page ids sort first and are never the largest; of repeated rows with
+    the largest page id the first is the response and the others revisit it. An empty table writes no
+    archive and an empty manifest. Other columns are left out, whatever their names.
     """
-    spark = pages.sparkSession
-    payload = F.coalesce(F.col(html_col), F.lit(""))
-    rows = settle(
-        pages.select(
-            F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"),
-            F.monotonically_increasing_id().alias("seq"),
-        ),
-        "warc-rows",
-    )
-    bytes_ = F.col("payload").cast("binary")
-    hashed = rows.select("page_id", "seq", F.octet_length(bytes_).cast("long").alias("size"), F.sha1(bytes_).alias("sha1"))
-    hashed = settle(hashed, "warc-digests")
+    payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.sha1(payload).alias("sha1"), F.col(url_col).alias("url"), payload.alias("payload"))
+    hashed = settle(rows.select("page_id", "sha1", F.octet_length("payload").alias("size")), "warc-digests")
     long_ = hashed.where(F.col("size") >= least_revisit)
-    most = (
-        long_.groupBy("sha1").agg(F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("o"), "seq", "page_id")).alias("m"), F.count("*").alias("n"))
-        .where("n > 1").select("sha1", F.col("m.page_id").alias("refers_to"), F.col("m.seq").alias("refers_seq"))
-    )
-    copies = long_.join(most, "sha1").where(F.col("seq") != F.col("refers_seq")).select("seq", "refers_to", "refers_seq")
-    n = hashed.count()
-    kind = F.when(F.col("refers_seq").isNull(), "response").otherwise("revisit")
-    described = (
-        hashed.join(copies, "seq", "left").select("seq", "size", "sha1", "refers_to", "refers_seq", kind.alias("kind"))
-    )
+    most = long_.groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("sha1", "refers_to")
+    revisits = long_.join(most, "sha1").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "sha1", "refers_to").distinct()
+    parts = slices(hashed.count(), rows_per_part)
+    none = lambda t: F.lit(None).cast(t)
+    order = [F.col("page_id").asc_nulls_first(), F.col("sha1")]
     ready = (
-        rows.join(described, "seq")
-        # A revisit carries no payload, so its text need not be sorted.
-        .withColumn("payload", F.when(F.col("kind") == "response", F.col("payload").cast("binary")))
-        .repartitionByRange(slices(n, rows_per_part), F.col("page_id").asc_nulls_first(), "seq")
-        .sortWithinPartitions(F.col("page_id").asc_nulls_first(), "seq")
+        revisits.select(F.lit(0).alias("is_page"), "page_id", "sha1", "refers_to", none("string").alias("url"), none("binary").alias("payload"))
+        .unionByName(rows.select(F.lit(1).alias("is_page"), "page_id", "sha1", none("long").alias("refers_to"), "url", "payload"))
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order, "is_page", "url")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         roller = Roller(folder, TaskContext.get().partitionId(), file_bytes)
+        last, repeat, target, revisit = None, 0, None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                roller.add(row["page_id"], record(row, date))
+            page_ids, sha1s, refers, urls, flags = (
+                batch.column(c).to_pylist() for c in ("page_id", "sha1", "refers_to", "url", "is_page")
+            )
+            for page_id, sha1, refers_to, url, is_page, body in zip(page_ids, sha1s, refers, urls, flags, batch.column("payload")):
+                if not is_page:
+                    revisit, target = (page_id, sha1), refers_to
+                    continue
+                raw = body.as_py()
+                repeat = repeat + 1 if last == (page_id, sha1) else 0
+                last = (page_id, sha1)
+                if revisit == last:
+                    roller.add(page_id, record(page_id, url, raw, repeat, True, target, date))
+                else:
+                    again = repeat > 0 and len(raw) >= least_revisit
+                    roller.add(page_id, record(page_id, url, raw, repeat, again, page_id if again else None, date))
         roller.close()
-        names = [f.split()[0] for f in MANIFEST.split(", ")]
         if roller.done:
-            columns = list(zip(*roller.done))
+            names = [f.split()[0] for f in MANIFEST.split(", ")]
             types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*roller.done), types)], names=names)
 
     manifest = ready.mapInArrow(run, MANIFEST)
     manifest.write.parquet(f"{folder}/_manifest")  # its commit is the archive's: files it does not name don't count
-    return spark.read.schema(manifest.schema).parquet(f"{folder}/_manifest")
+    return pages.sparkSession.read.schema(manifest.schema).parquet(f"{folder}/_manifest")
 
 
 def records_of(source) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -210,7 +210,7 @@ def parse(headers: dict[str, str], block: bytes) -> dict:
         raise ValueError(f"payload of {headers['warc-record-id']} differs from its digest")
     whole = lambda key: int(headers[key]) if headers.get(key) else None
     return {
-        "page_id": whole("x-page"), "seq": whole("x-sequence"), "url": None if headers["warc-target-uri"] == "urn:none" else headers["warc-target-uri"],
+        "page_id": whole("x-page"), "url": None if headers["warc-target-uri"] == "urn:none" else headers["warc-target-uri"],
         "payload_bytes": size, "payload_digest": digest, "record_type": headers["warc-type"],
         "refers_to": whole("x-refers-to-page") if revisit else None,
     }
@@ -219,7 +219,7 @@ def parse(headers: dict[str, str], block: bytes) -> dict:
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """The records of all archives that ``manifest`` names: one row each, every digest verified."""
     schema = pa.schema([
-        ("page_id", pa.int64()), ("seq", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
+        ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("file", pa.string()),
         ("position", pa.int64()),
     ])
