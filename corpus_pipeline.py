@@ -7,8 +7,9 @@ back as the next stage's ``docs``. All but the last return the columns of docume
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyforge.llm import quality
+from tallyforge.llm import jaccard, packing, quality, repeats
 from tallyforge.llm.common import settle, table
 from tallyforge.session import tune
 
@@ -18,8 +19,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.good_documents(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard.first_of_each(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Long strings that occur more than once are cut out; the character count follows."""
+    left = repeats.remove(docs, own=True)
+    return left.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in left.columns else left
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, packed into sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 # Best-fit packing and suffix arrays are not SQL; the tests hold run() against brute force.
