@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import components, settle, slices
 
-# Leading components whose cells decide which vectors can meet; dimensions compared at a time.
-GRID = 3
+# Leading axes whose cells decide which vectors can meet, at most; dimensions compared at a time.
+GRID = 4
 STEP = 8
-# Room for rounding where a bound prunes; pairs this close to the threshold are decided on the vectors as given.
-SLACK = 1e-6
+# Room for rounding where a bound prunes.
+SLACK = 1e-9
 
 
 def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
@@ -52,13 +52,13 @@ def _find(parent: np.ndarray, i: int) -> int:
     return i
 
 
-def compare(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray, threshold: float):
+def compare(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of rows of ``x`` and ``y`` with cosine of at least ``threshold``.
 
     Rows are unit vectors on the principal axes. Products of the leading dimensions accumulate step by
     step; what is left of a product is at most the product of the norms of the two suffixes, and a pair
-    is dropped when even that cannot reach the threshold. What remains is decided in double precision on
-    the vectors as they were given.
+    is dropped when even that cannot reach the threshold. What remains is the whole product, in double
+    precision; turning the axes changes it by a few units in the last place.
     """
     dims = x.shape[1]
     tails = lambda m: np.sqrt(np.maximum(0, np.cumsum((m * m)[:, ::-1], axis=1)[:, ::-1]))
@@ -78,10 +78,6 @@ def compare(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray,
         bound = value + (tail_x[i, at] * tail_y[j, at] if at < dims else 0.0)
         keep = bound >= threshold - SLACK
         i, j, value = i[keep], j[keep], value[keep]
-    near = np.abs(value - threshold) <= SLACK
-    if near.any():
-        a, b = raw_x[i[near]], raw_y[j[near]]
-        value[near] = np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
     keep = value >= threshold
     return i[keep], j[keep]
 
@@ -157,7 +153,10 @@ def _links(distinct: DataFrame, dims: int, threshold: float, rows_per_tile: int)
     other) with ``n`` null joins two nodes of a component."""
     axes = principal(distinct, dims)
     side = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    grid = min(GRID, dims)
+    # An axis more cuts a cell in about four and gives it three times the neighbours: worth it once cells
+    # hold several tiles.
+    most = distinct.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    grid = min(GRID, dims, max(1, math.ceil(math.log(most / (4 * rows_per_tile), 4)) if most > 4 * rows_per_tile else 1))
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,15 +165,14 @@ def _links(distinct: DataFrame, dims: int, threshold: float, rows_per_tile: int)
             cell = np.floor(x[:, :grid] / side).astype(np.int32)
             lists = lambda m, t: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel(), t))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("node"), batch.column("copies"), batch.column("v"),
-                 lists(x, pa.float64()), lists(cell, pa.int32())],
-                names=["label", "node", "copies", "v", "x", "cell"],
+                [batch.column("label"), batch.column("node"), batch.column("copies"), lists(x, pa.float64()), lists(cell, pa.int32())],
+                names=["label", "node", "copies", "x", "cell"],
             )
 
     kind = distinct.schema["label"].dataType.simpleString()
     turned = settle(
         distinct.select("label", "node", "copies", "v")
-        .mapInArrow(turn, f"label {kind}, node long, copies long, v array<double>, x array<double>, cell array<int>"),
+        .mapInArrow(turn, f"label {kind}, node long, copies long, x array<double>, cell array<int>"),
         "vectors-turned",
     )
     # Tiles: a cell is cut by a hash into as many as its rows ask for.
@@ -203,19 +201,19 @@ def _links(distinct: DataFrame, dims: int, threshold: float, rows_per_tile: int)
     side_b = pairs.where("other OR tile_a <> tile_b").select(
         "label", F.col("cell_b").alias("cell"), F.col("tile_b").alias("tile"), "pair", F.lit(1).alias("side")
     )
-    work = tiled.join(side_a.unionByName(side_b), ["label", "cell", "tile"]).select("pair", "side", "label", "cell", "tile", "node", "copies", "v", "x")
+    work = tiled.join(side_a.unionByName(side_b), ["label", "cell", "tile"]).select("pair", "side", "label", "cell", "tile", "node", "copies", "x")
 
     def link(group: pa.Table) -> pa.Table:
         out_node, out_other, out_n = [], [], []
         group = group.combine_chunks()
         side_of = np.array(group.column("side"))
         node, copies = np.array(group.column("node")), np.array(group.column("copies"))
-        raw, x = _matrix(group.column("v").chunk(0), dims), _matrix(group.column("x").chunk(0), dims)
+        x = _matrix(group.column("x").chunk(0), dims)
         a, b = np.nonzero(side_of == 0)[0], np.nonzero(side_of == 1)[0]
         same = not len(b)
         if same:
             b = a
-        i, j = compare(x[a], x[b], raw[a], raw[b], threshold)
+        i, j = compare(x[a], x[b], threshold)
         if same:
             keep = i != j
             i, j = i[keep], j[keep]
