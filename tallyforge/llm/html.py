@@ -211,17 +211,15 @@ def main_text(page: str | None) -> str:
         least = min(n.density for n in path)
         on_path = set(map(id, path))
 
-        def walk(node: Node) -> None:
-            if node is core:
+        stack = [body]
+        while stack:
+            node = stack.pop()
+            if node is core or id(node) not in on_path:
                 _blocks(node, out)
-                return
-            for part in node.parts:
-                if isinstance(part, Node) and not part.skip:
-                    if id(part) in on_path:
-                        walk(part)
-                    elif part.density >= least:
-                        _blocks(part, out)
-        walk(body)
+                continue
+            stack.extend(reversed([
+                n for n in node.children if not n.skip and (id(n) in on_path or n.chars and n.density >= least)
+            ]))
     lines = (" ".join(entities.unescape("".join(b)).split()) for b in out)
     return "\n".join(line for line in lines if line)
 
