@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import duckdb
 import numpy as np
@@ -12,22 +12,23 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-# Merges of a group of words run to a fixpoint: a step finds, for every word, the leftmost neighbouring
-# pair of least rank and contracts it; words without such a pair have settled and drop out.
+# Merges of a group of words run to a fixpoint. Positions are gapless in every word; a step joins each
+# token and its right neighbour with the merge table, finds every word's leftmost pair of least rank and
+# contracts it. Words without such a pair have settled and drop out.
 ENCODE = """
 WITH RECURSIVE state(word, pos, tok, step) AS (
     SELECT word, pos, tok, 0 FROM letters
     UNION ALL (
-        WITH seen AS (
-            SELECT word, pos, tok, step, lead(pos) OVER w AS next_pos, lead(tok) OVER w AS next_tok
-            FROM state WINDOW w AS (PARTITION BY word ORDER BY pos)
-        ), best AS (
-            SELECT s.word, min({'rank': m.rank, 'pos': s.pos, 'gone': s.next_pos}) AS pair
-            FROM seen s JOIN merges m ON m.left_tok = s.tok AND m.right_tok = s.next_tok
-            GROUP BY s.word
-        )
-        SELECT s.word, s.pos, CASE WHEN s.pos = b.pair.pos THEN b.pair.rank ELSE s.tok END, s.step + 1
-        FROM seen s JOIN best b USING (word) WHERE s.pos <> b.pair.gone
+        WITH best AS (
+            SELECT a.word, min(m.rank::BIGINT << 32 | a.pos) AS pair
+            FROM state a
+            JOIN state b ON b.word = a.word AND b.pos = a.pos + 1
+            JOIN merges m ON m.left_tok = a.tok AND m.right_tok = b.tok
+            GROUP BY a.word
+        ), here AS (SELECT word, (pair >> 32)::INT AS rank, (pair & 4294967295)::INT AS pos FROM best)
+        SELECT s.word, CASE WHEN s.pos > here.pos THEN s.pos - 1 ELSE s.pos END,
+            CASE WHEN s.pos = here.pos THEN here.rank ELSE s.tok END, s.step + 1
+        FROM state s JOIN here USING (word) WHERE s.pos <> here.pos + 1
     )
 )
 SELECT word, list(tok ORDER BY pos) AS ids
@@ -39,7 +40,7 @@ SELECT word, string_agg(t.bytes, '' ORDER BY i.pos) AS bytes
 FROM tokens i JOIN vocabulary t ON t.id = i.tok GROUP BY word ORDER BY word
 """
 # Words a query works on at once, words a task remembers, characters split at once.
-WORDS, REMEMBERED, PIECE = 20_000, 400_000, 1 << 20
+WORDS, REMEMBERED, PIECE = 20_000, 500_000, 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,6 +57,7 @@ class Codec:
         self.letters = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.ids: dict[str, bytes] = {}
         self.texts: dict[bytes, bytes] = {}
+        self.old_ids, self.old_texts = self.ids, self.texts
         # One thread and nothing spilled: Spark runs one of these in every task.
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = [
@@ -95,15 +97,26 @@ class Codec:
                 self._load("tokens", {"word": word, "pos": pos, "tok": np.frombuffer(b"".join(new), "<u4").astype(np.int32)})
                 self.texts.update(zip(new, (bytes.fromhex(h) for _, h in self.con.execute(DECODE).fetchall()), strict=True))
 
+    def prepare(self, words: Iterable[str]) -> None:
+        """Have the ids of ``words`` at hand. What was not asked for since the memory was last full goes
+        when it is full again."""
+        need = []
+        for w in dict.fromkeys(words):
+            if w not in self.ids:
+                packed = self.old_ids.get(w)
+                if packed is None:
+                    need.append(w)
+                else:
+                    self.ids[w] = packed
+                    self.texts[packed] = self.old_texts[packed]
+        if len(self.ids) + len(need) > REMEMBERED:
+            own = {w: self.ids[w] for w in dict.fromkeys(words) if w in self.ids}
+            self.old_ids, self.old_texts = self.ids, self.texts
+            self.ids, self.texts = own, {p: self.old_texts[p] for p in own.values()}
+        self.learn(need)
+
     def encode(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, little-endian."""
-        own = dict.fromkeys(words)
-        new = [w for w in own if w not in self.ids]
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear()
-            self.texts.clear()
-            new = list(own)
-        self.learn(new)
+        """The ids of each of the prepared words, little-endian."""
         return [self.ids[w] for w in words]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
@@ -194,11 +207,13 @@ def _pieces(words: regex.Pattern, text: str) -> Iterator[list[str]]:
 def _coded(codec: Codec, words: regex.Pattern, texts: list[str], keep: bool) -> list[tuple]:
     """(number of tokens, digest of the ids, digest of the decoded bytes, ids) of each text."""
     split = [list(_pieces(words, t)) if len(t) <= PIECE else None for t in texts]
-    codec.encode([w for parts in split if parts for part in parts for w in part])  # one query for the words of all
+    codec.prepare([w for parts in split if parts for part in parts for w in part])  # one query for the words of all
     out = []
     for text, parts in zip(texts, split):
         n, sha_ids, sha_text, all_ids = 0, hashlib.sha256(), hashlib.sha256(), []
         for part in parts or _pieces(words, text):
+            if not parts:
+                codec.prepare(part)
             coded = codec.encode(part)
             joined = b"".join(coded)
             n += len(joined) // 4

@@ -267,5 +267,6 @@ def test_bpe_round_trip(spark, corpus, tmp_path, monkeypatch):
     codec = bpe.Codec(bpe.read_ranks(path))
     monkeypatch.setattr(bpe, "REMEMBERED", 20)
     for text in ("one two three four five six seven eight nine ten eleven twelve", "one thirteen fourteen two fifteen"):
-        pieces = [p for p in text.split(" ")]
+        pieces = text.split(" ")
+        codec.prepare(pieces)
         assert codec.decode(codec.encode(pieces)) == [p.encode() for p in pieces]
