@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,22 +38,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Links that one task joins up at a time.
+PART = 200_000
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one part as stars: every node with the smallest one it reaches there."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while up[root] != root:
+            root = up[root]
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            up.setdefault(a, a), up.setdefault(b, b)
+            x, y = find(a), find(b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+    rows = [(x, find(x)) for x in up]
+    rows = [r for r in rows if r[0] != r[1]]
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges`` (``a``, ``b``; any orderable type): rows (``node``, ``root``)
-    with the smallest node that each can reach. Nodes without an edge do not appear.
+    """Connected components of ``edges`` (``a``, ``b``, longs): rows (``node``, ``root``) with the smallest
+    node that each can reach. Nodes without a link to another do not appear.
 
-    Alternating large-star and small-star rounds: each replaces every node's links by links to its
-    smallest neighbour, so the work of a round is linear in the edges and the number of rounds is
-    logarithmic in the longest path. The rows of a node are never gathered: a round joins back a
-    partially aggregated minimum. Every round is written to the shared folder.
+    A round joins up parts of at most PART links, each in one task, and then the parts with each other by
+    a large-star and a small-star step: every node's links become links to its smallest neighbour. The
+    work of a round is linear in the links, no node's links are gathered (minima are partially aggregated
+    and joined back), and every round is written to the shared folder.
     """
-    links = settle(
-        edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        f"{name}-links",
-    )
+    links = settle(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b"), f"{name}-links")
     for _ in range(max_rounds):
+        parts = slices(links.count(), PART)
+        stars = links.coalesce(parts).mapInArrow(_contract, "a long, b long")
+        if parts == 1:
+            links = settle(stars, f"{name}-links")
+            break
+        links = settle(stars.distinct(), f"{name}-links")
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (
@@ -62,11 +91,10 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = settle(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), f"{name}-links")
+        links = settle(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), f"{name}-links")
         # Done when the links are stars: no node has two parents and no parent has a parent.
-        state = after.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).first()
-        nested = after.join(after.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
-        links = after
+        state = links.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).first()
+        nested = links.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
         if state["n"] == state["d"] and not nested:
             break
     else:

@@ -18,7 +18,7 @@ from tallyforge.llm.common import settle, slices
 # Length of a repeat, and of the strings that say where equal windows meet.
 LENGTH, GRAM = 400, 128
 # Bytes an index holds; sections of one anchor beyond which they are compared by counting instead.
-INDEX_BYTES, HOT = 1 << 20, 1500
+INDEX_BYTES, HOT = 1 << 19, 1000
 # Positions of a stretch fit in PLACE bits of the packed hash.
 PLACE = 20
 
@@ -115,13 +115,14 @@ def _common(symbols: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> np.
     """Length of the common prefix of the suffixes at ``x`` and ``y``, up to ``most``."""
     padded = np.concatenate((symbols, np.full(most + 64, 511, symbols.dtype)))
     out = np.zeros(len(x), np.int64)
-    live = np.arange(len(x))
     step = np.arange(32)
-    while len(live):
-        differ = padded[(x[live] + out[live])[:, None] + step] != padded[(y[live] + out[live])[:, None] + step]
-        any_ = differ.any(axis=1)
-        out[live] += np.where(any_, differ.argmax(axis=1), 32)
-        live = live[~any_ & (out[live] < most)]
+    for at in range(0, len(x), 1 << 14):
+        live = np.arange(at, min(len(x), at + (1 << 14)))
+        while len(live):
+            differ = padded[(x[live] + out[live])[:, None] + step] != padded[(y[live] + out[live])[:, None] + step]
+            any_ = differ.any(axis=1)
+            out[live] += np.where(any_, differ.argmax(axis=1), 32)
+            live = live[~any_ & (out[live] < most)]
     return out
 
 
@@ -135,7 +136,7 @@ def repeated_starts(pieces: list[bytes]) -> list[np.ndarray]:
     """
     sizes = np.array([len(p) for p in pieces])
     ends = np.cumsum(sizes + 1) - 1
-    symbols = np.full(int(ends[-1]) + 1, 256, np.int64)  # 256 ends a piece
+    symbols = np.full(int(ends[-1]) + 1, 256, np.int16)  # 256 ends a piece
     for p, e in zip(pieces, ends.tolist()):
         symbols[e - len(p) : e] = np.frombuffer(p, np.uint8)
     n = len(symbols)
@@ -179,7 +180,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     })
 
 
-NAME = ("doc_id", "t1", "t2", "t3")
+NAME = ["doc_id", "t1", "t2", "t3"]
 
 
 def _same(x: DataFrame, y: DataFrame):
@@ -207,7 +208,7 @@ def find(docs: DataFrame) -> DataFrame:
                         xxhash.xxh3_64_intdigest(texts[i][a : b + LENGTH])
                         for i, _, first, last in found for a, b in zip(first.tolist(), last.tolist())
                     ]
-                    part = batch.take(pa.array(rows))
+                    part = batch.select(NAME).take(pa.array(rows))
                     keys = np.concatenate([k for _, k, _, _ in found]).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [*(part.column(c) for c in NAME), pa.array(keys), pa.array(np.array(whole, np.uint64).view(np.int64)),
@@ -254,7 +255,7 @@ def find(docs: DataFrame) -> DataFrame:
                 for place, spans in places.items():
                     for lo, hi in merged(spans):
                         out.append((0, place, lo, hi, raw[lo:hi]))
-                part = batch.take(pa.array([row] * len(out)))
+                part = batch.select(NAME).take(pa.array([row] * len(out)))
                 k, p, lo, hi, b = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in NAME), pa.array(k, pa.int64()), pa.array(p, pa.int32()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(b, pa.binary())],
@@ -274,7 +275,7 @@ def find(docs: DataFrame) -> DataFrame:
         for i, (s, starts) in enumerate(zip(group.column("lo").to_pylist(), found)):
             for a, b in runs(starts):
                 row.append(i), lo.append(s + a), hi.append(s + b)
-        part = group.take(pa.array(row, pa.int64()))
+        part = group.select(NAME).take(pa.array(row, pa.int64()))
         return pa.Table.from_arrays(
             [*(part.column(c) for c in NAME), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=[*NAME, "from", "to"]
         )
@@ -286,7 +287,7 @@ def find(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for row, (lo, piece) in enumerate(zip(batch.column("lo").to_pylist(), batch.column("piece").to_pylist())):
                 names = [xxhash.xxh3_128_digest(piece[k : k + LENGTH]) for k in range(len(piece) - LENGTH + 1)]
-                part = batch.take(pa.array([row] * len(names)))
+                part = batch.select(NAME).take(pa.array([row] * len(names)))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in NAME), pa.array(range(lo, lo + len(names)), pa.int64()), pa.array(names, pa.binary())],
                     names=[*NAME, "at", "window"],

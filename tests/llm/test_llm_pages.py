@@ -107,7 +107,9 @@ def test_near_vectors(spark, tile, seed):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [200_000, 25])
+def test_components(spark, part, monkeypatch):
+    monkeypatch.setattr(common, "PART", part)
     rng = random.Random(6)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5000 + i) for i in range(40)]
     union = brute.Union()
