@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,25 +18,39 @@ from .base import query
 CONFIG = plain.CONFIG
 
 
-@lru_cache(maxsize=8)
+_STORED: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and time of every file the dirty view reads; contents are not read."""
+    tables = ("region", "nation", "customer", "part", "orders", "lineitem")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{sf_dir}/{t}.parquet" for t in tables])
+    return tuple(sorted(tuple(r) for r in files.select("path", "length", F.col("modificationTime").cast("string")).collect()))
+
+
 def _labelled(spark: SparkSession, sf_dir: str, dialect: str) -> dict[str, DataFrame]:
-    """The labelled tables, cleaned once per session and folder: reports read the stored result."""
-    return clean_all(raw_tables(spark, sf_dir), CONFIG.with_(dialect=dialect), settler(spark))
+    """The labelled tables. Reports of one session over the same files read one stored result; changed or
+    further files are cleaned again."""
+    key = (spark.sparkContext.applicationId, sf_dir, dialect, _state(spark, sf_dir))
+    if key not in _STORED:
+        if len(_STORED) >= 8:
+            _STORED.clear()
+        _STORED[key] = clean_all(raw_tables(spark, sf_dir), CONFIG.with_(dialect=dialect), settler(spark))
+    return _STORED[key]
 
 
 def forget() -> None:
     """Drop the stored cleaning results, so that the next report cleans again."""
-    _labelled.cache_clear()
+    _STORED.clear()
 
 
 def _log(spark: SparkSession, sf_dir: str, dialect: str) -> DataFrame:
-    """The disposition log with row numbers as text, because lines carry 38-digit ones."""
-    frames = _labelled(spark, sf_dir, dialect)
-    texts = {
-        n: f.withColumns({c: F.col(c).cast("string") for c in ("source_row", "retained_source_row")})
-        for n, f in frames.items()
-    }
-    return audit.disposition_log(texts)
+    return audit.disposition_log(_labelled(spark, sf_dir, dialect))
+
+
+def _texts(log: DataFrame) -> DataFrame:
+    """Row numbers as text, after whatever has sorted them."""
+    return log.withColumns({c: F.col(c).cast("string") for c in ("source_row", "retained_source_row") if c in log.columns})
 
 
 # ------------------------------------------------------------------ one table at a time
@@ -149,19 +161,19 @@ def return_cumulative(spark, sf_dir):
 @query("disposition", f"{plain.log()} SELECT * FROM log")
 def disposition(spark, sf_dir):
     """Every raw row of every table with exactly one disposition, all reasons and its JSON."""
-    return _log(spark, sf_dir, CANONICAL)
+    return _texts(_log(spark, sf_dir, CANONICAL))
 
 
 @query("disposition_first_reason", f"{plain.log(True)} SELECT * FROM log")
 def disposition_first_reason(spark, sf_dir):
     """The SQL dialect: raw-text copies, conflicts first, one reason per row."""
-    return _log(spark, sf_dir, SQL_DIALECT)
+    return _texts(_log(spark, sf_dir, SQL_DIALECT))
 
 
 _QUALITY = (
     " SELECT source_table AS \"table\", count(*) AS raw_rows, count(*) FILTER (disposition = 'Duplicate') AS duplicate_rows_removed,"
     " count(*) FILTER (disposition = 'Rejected') AS rejected_rows, count(*) FILTER (disposition = 'Accepted') AS clean_rows,"
-    " TRUE AS accounting_passed FROM log GROUP BY source_table"
+    " count(*) = count(*) FILTER (disposition IN ('Duplicate', 'Rejected', 'Accepted')) AS accounting_passed FROM log GROUP BY source_table"
 )
 
 
@@ -178,16 +190,16 @@ def quality_summary_sql_dialect(spark, sf_dir):
 @query("duplicate_evidence", f"{plain.log(True)} SELECT source_table, business_key, source_row, retained_source_row, raw_json FROM log WHERE disposition = 'Duplicate'")
 def duplicate_evidence(spark, sf_dir):
     """Raw-text copies with the row that was kept."""
-    return audit.listing(_log(spark, sf_dir, SQL_DIALECT), "Duplicate").select(
+    return _texts(audit.listing(_log(spark, sf_dir, SQL_DIALECT), "Duplicate").select(
         "source_table", "business_key", "source_row", "retained_source_row", "raw_json"
-    )
+    ))
 
 
 @query("rejected_listing", f"{plain.log()} SELECT source_table, source_row, business_key, reason, raw_json FROM log WHERE disposition = 'Rejected'")
 def rejected_listing(spark, sf_dir):
-    return audit.listing(_log(spark, sf_dir, CANONICAL), REJECTED).select(
+    return _texts(audit.listing(_log(spark, sf_dir, CANONICAL), REJECTED).select(
         "source_table", "source_row", "business_key", "reason", "raw_json"
-    )
+    ))
 
 
 def _profile_sql(name: str) -> str:
@@ -199,11 +211,11 @@ def _profile_sql(name: str) -> str:
     )
 
 
-@query("column_profile", " UNION ALL ".join(_profile_sql(n) for n in ("customers", "products", "orders")))
+@query("column_profile", " UNION ALL ".join(_profile_sql(n) for n in plain.RAW_SQL))
 def column_profile(spark, sf_dir):
     """Whole-table column profile before cleaning."""
     raw = raw_tables(spark, sf_dir)
-    return audit.union_all([audit.profile(raw[n], n, CONFIG.table(n).columns) for n in ("customers", "products", "orders")])
+    return audit.union_all([audit.profile(raw[n], n, CONFIG.table(n).columns) for n in plain.RAW_SQL])
 
 
 @query("named_rows", f"{plain.log()} SELECT source_table, disposition, count(*) AS rows FROM log WHERE business_key IN"

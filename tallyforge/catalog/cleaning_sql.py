@@ -7,7 +7,6 @@ from ..functions.text import WHITESPACE
 from ..sources import lake
 
 CONFIG = lake.LAKE_DIRTY_CONFIG
-_DAYS = "datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"
 _PLACED = "customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 
 
@@ -23,8 +22,8 @@ RAW_SQL = {
     "customers": _raw(lake.CUSTOMER_RAW, _PLACED, lake.CUSTOMER_COPIES),
     "products": _raw(lake.PRODUCT_RAW, "part", lake.PRODUCT_COPIES),
     "orders": _raw(lake.ORDER_RAW, "orders", lake.ORDER_COPIES),
-    "order_lines": _raw(lake.LINE_RAW, _base(lake.line_base("//", _DAYS)), "copies"),
-    "returns": _raw(lake.EVENT_RAW, _base(lake.event_base(_DAYS), " WHERE l_returnflag = 'R'"), "copies"),
+    "order_lines": _raw(lake.LINE_RAW, _base(lake.line_base("//")), "copies"),
+    "returns": _raw(lake.EVENT_RAW, _base(lake.event_base(), " WHERE l_returnflag = 'R'"), "copies"),
 }
 
 

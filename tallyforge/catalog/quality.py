@@ -468,7 +468,7 @@ def _guard_sql(name: str) -> str:
 
 @query("staging_guard", " UNION ALL ".join(_guard_sql(n) for n in plain.RAW_SQL))
 def staging_guard(spark, sf_dir):
-    """Row numbers must be whole numbers from 1 and unique; the 38-digit ones of lines do not fit."""
+    """Row numbers must be whole numbers from 1 and unique."""
     return audit.staging_guard(raw_tables(spark, sf_dir), DIRTY)
 
 

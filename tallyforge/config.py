@@ -6,7 +6,7 @@ parents it refers to, the order window, the return cutoff and the dialect of the
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date
 
 CANONICAL = "canonical"
@@ -54,18 +54,6 @@ class TableSpec:
         return next(f for f in self.fields if f.name == name)
 
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot.
-
-    Keys above ``hot_rows`` rows are answered from a broadcast list that can never exceed ``hot_keys``
-    entries; every key left to the shuffle holds at most ``max(hot_rows, all_rows / hot_keys)`` rows.
-    """
-
-    hot_rows: int = 200_000
-    hot_keys: int = 20_000
-
-
 @dataclass(frozen=True)
 class RunConfig:
     tables: tuple[TableSpec, ...]
@@ -76,7 +64,6 @@ class RunConfig:
     void_status: str = "Cancelled"
     dialect: str = CANONICAL
     enforce_precision: bool = True
-    skew: SkewPolicy = field(default_factory=SkewPolicy)
 
     def table(self, name: str) -> TableSpec:
         return next(t for t in self.tables if t.name == name)

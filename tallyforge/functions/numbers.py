@@ -17,15 +17,41 @@ RATE = "decimal(5,4)"
 MEASURE = "decimal(28,6)"
 
 
+# What PARSED holds: digits before and after the point.
+WHOLE, FRACTION = 20, 18
+
+
+def _read(digits: Column) -> Column:
+    """Digits with an optional sign and fraction as a number. What PARSED cannot hold exactly becomes a
+    neighbour that no model type holds either: a cut fraction ends in a non-zero last place, a number with
+    too many whole digits becomes the largest. So nothing is ever rounded to an acceptable value, and
+    signs and bounds stay as they are."""
+    short = digits.try_cast(PARSED)
+    kept = F.regexp_replace(digits, rf"^([+-]?\d*\.\d{{{FRACTION}}})\d+\z", "$1")
+    cut = digits.rlike(rf"\.\d{{{FRACTION}}}\d*[1-9]\d*\z")
+    marked = F.when(cut & F.endswith(kept, F.lit("0")), F.regexp_replace(kept, r"0\z", "1")).otherwise(kept)
+    most = F.lit("9" * WHOLE + "." + "9" * FRACTION).cast(PARSED)
+    large = digits.rlike(rf"^[+-]?0*[1-9]\d{{{WHOLE},}}(\.|\z)")
+    long = F.when(large, F.when(F.startswith(digits, F.lit("-")), -most).otherwise(most)).otherwise(marked.try_cast(PARSED))
+    return F.when(F.length(digits) <= FRACTION, short).otherwise(long)
+
+
+def is_exact(text: Column) -> Column:
+    """Whether a number's text has no more digits than PARSED holds (a percentage has two more)."""
+    return (F.length(text) < FRACTION) | ~(
+        text.rlike(rf"\.\d{{{FRACTION - 2}}}\d*[1-9]") | F.replace(text, F.lit(","), F.lit("")).rlike(rf"[1-9]\d{{{WHOLE},}}")
+    )
+
+
 def us_number(text: Column) -> Column:
     """Strict reading: optional sign, digits or proper thousands groups, optional fraction."""
-    return F.when(text.rlike(STRICT_NUMBER), F.replace(text, F.lit(","), F.lit("")).try_cast(PARSED))
+    return F.when(text.rlike(STRICT_NUMBER), _read(F.replace(text, F.lit(","), F.lit(""))))
 
 
 def us_number_lenient(text: Column) -> Column:
     """Reading of a locale-aware database cast: loose grouping, bare points, one sign at either end."""
     digits = F.replace(F.regexp_replace(text, r"[+-]", ""), F.lit(","), F.lit(""))
-    size = F.regexp_replace(digits, r"\.\z", "").try_cast(PARSED)
+    size = _read(F.regexp_replace(digits, r"\.\z", ""))
     return F.when(text.rlike(LENIENT_NUMBER), F.when(F.contains(text, F.lit("-")), -size).otherwise(size))
 
 
@@ -38,7 +64,12 @@ def currency(text: Column) -> Column:
 def percent(text: Column, number=us_number) -> Column:
     """'20%' and '0.20' are the same rate."""
     body = F.rtrim(F.left(text, F.length(text) - 1), F.lit(WHITESPACE))
-    scaled = (number(body) * F.lit("0.01").cast("decimal(2,2)")).cast(PARSED)
+    read = number(body)
+    scaled = (read * F.lit("0.01").cast("decimal(2,2)")).cast(PARSED)
+    # Digits that fall off the end leave a mark, as in ``_read``.
+    mark = F.lit("0." + "0" * (FRACTION - 1) + "1").cast("decimal(18,18)")
+    cut = (read != read.cast(f"decimal({WHOLE + FRACTION - 2},{FRACTION - 2})")) & (scaled == scaled.cast(f"decimal({WHOLE + FRACTION - 1},{FRACTION - 1})"))
+    scaled = F.when(cut, (scaled.try_cast(f"decimal(37,{FRACTION})") + mark).cast(PARSED)).otherwise(scaled)
     return F.when(F.endswith(text, F.lit("%")), scaled).otherwise(number(text))
 
 

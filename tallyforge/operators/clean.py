@@ -139,9 +139,7 @@ def with_cumulative_bound(events: DataFrame, config: RunConfig) -> DataFrame:
     Individually bad events and copies neither count nor suffer."""
     valid = ~F.col("_copy") & (F.size("_reasons") == 0)
     units = F.sum(F.when(valid, F.col("return_quantity").cast("bigint")))
-    bounded = with_group_stats(
-        events, ["order_line_id"], {"_units": units}, F.col("source_row"), config.skew
-    )
+    bounded = with_group_stats(events, ["order_line_id"], {"_units": units})
     message = SQL_CUMULATIVE_REASON if config.dialect == SQL_DIALECT else CUMULATIVE_REASON
     exceeded = F.coalesce(valid & (F.col("_units") > F.col("_bought")), F.lit(False))
     return bounded.withColumn(

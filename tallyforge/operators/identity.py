@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig, TableSpec
 from .normalize import identity_parts
-from .skew import lookup, with_group_stats
 
 
 def fingerprint(parts: list[Column]) -> tuple[Column, Column]:
@@ -20,28 +19,25 @@ def with_identity(parsed: DataFrame, spec: TableSpec, config: RunConfig) -> Data
     """Add ``business_key``, ``retained_source_row``, ``_copy`` and ``_key_conflict``.
 
     The first row of each distinct record survives, the rest are copies. A key is in conflict when more
-    than one distinct record carries it; missing keys form one group.
+    than one distinct record carries it; missing keys form one group. A record with a wrong field count
+    is no copy of a well-formed one and puts no key in conflict: it is rejected for itself.
+
+    Records are settled on narrow rows (key, fingerprint, row number), partially aggregated, and joined
+    back once.
     """
-    first, second = fingerprint(identity_parts(spec, config))
+    parts = identity_parts(spec, config)
+    ragged = F.col("ragged") if "ragged" in parsed.columns else F.lit(False)
+    parts += [ragged, *[F.col(c) for c in ("record",) if c in parsed.columns]]
+    first, second = fingerprint(parts)
     keyed = parsed.withColumns({"business_key": F.nullif(F.col(spec.key), F.lit("")), "_f1": first, "_f2": second})
     records = (
-        keyed.select(F.coalesce("business_key", F.lit("")).alias("_key"), "_f1", "_f2", "source_row")
-        .groupBy("_key", "_f1", "_f2")
-        .agg(F.min("source_row").alias("retained_source_row"), F.count(F.lit(1)).alias("_copies"))
+        keyed.select(F.coalesce("business_key", F.lit("")).alias("_key"), "_f1", "_f2", "source_row", ragged.alias("_ragged"))
+        .groupBy("_key", "_f1", "_f2", "_ragged")
+        .agg(F.min("source_row").alias("retained_source_row"))
     )
-    # The key statistics read every record column, so both uses of ``records`` share one exchange.
-    judged = with_group_stats(
-        records,
-        ["_key"],
-        {
-            "_key_conflict": F.count(F.lit(1)) > 1,
-            "_key_rows": F.sum("_copies"),
-            "_key_first": F.min("retained_source_row"),
-        },
-        F.col("retained_source_row"),
-        config.skew,
-    ).drop("_key", "_key_rows", "_key_first")
-    joined = lookup(keyed, ["_f1", "_f2"], judged, "_copies", F.col("source_row"), config.skew)
-    return joined.withColumn("_copy", F.col("source_row") != F.col("retained_source_row")).drop(
-        "_f1", "_f2", "_copies"
+    per_key = records.groupBy("_key").agg((F.count_if(~F.col("_ragged")) > 1).alias("_key_conflict"))
+    judged = records.join(per_key, "_key").select(
+        "_f1", "_f2", "retained_source_row", (F.col("_key_conflict") & ~F.col("_ragged")).alias("_key_conflict")
     )
+    joined = keyed.join(judged, ["_f1", "_f2"], "left")
+    return joined.withColumn("_copy", F.col("source_row") != F.col("retained_source_row")).drop("_f1", "_f2")

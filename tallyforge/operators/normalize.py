@@ -43,7 +43,7 @@ def read_fields(raw: DataFrame, spec: TableSpec, config: RunConfig) -> DataFrame
         {f"_n_{f.name}": _number(F.col(f"_t_{f.name}"), f, sql) for f in spec.fields if f.kind in NUMERIC}
         or {"_raw": F.col("_raw")}
     )
-    return numbered.withColumns({f.name: _value(f, sql) for f in spec.fields})
+    return numbered.withColumns({f.name: _value(f, config) for f in spec.fields})
 
 
 def _number(cell: Column, f: Field, sql: bool) -> Column:
@@ -56,7 +56,8 @@ def _number(cell: Column, f: Field, sql: bool) -> Column:
     return numbers.percent(cell) if f.kind == "rate" else numbers.us_number(cell)
 
 
-def _value(f: Field, sql: bool) -> Column:
+def _value(f: Field, config: RunConfig) -> Column:
+    sql = config.dialect == SQL_DIALECT
     cell = F.col(f"_t_{f.name}")
     if f.kind == "identifier":
         return F.upper(cell)
@@ -65,7 +66,8 @@ def _value(f: Field, sql: bool) -> Column:
     if f.kind == "count":
         return numbers.whole_count(F.col(f"_n_{f.name}"))
     if f.kind in NARROW:
-        return F.col(f"_n_{f.name}").try_cast(NARROW[f.kind])
+        number = F.col(f"_n_{f.name}")
+        return number.try_cast(NARROW[f.kind]) if sql or config.enforce_precision else number
     if f.kind == "email":
         return F.nullif(cell if sql else F.lower(cell), F.lit(""))
     if f.kind in ("label", "synonym") and sql:
@@ -86,7 +88,9 @@ def identity_parts(spec: TableSpec, config: RunConfig) -> list[Column]:
     for f in spec.fields:
         if f.kind in ("date", "price", "rate", "count"):
             value = F.col(f"_n_{f.name}") if f.kind in ("price", "rate") else F.col(f.name)
-            parts += [value, F.when(value.isNull(), F.col(f"_t_{f.name}"))]
+            cell = F.col(f"_t_{f.name}")
+            told = value.isNull() if f.kind == "date" else value.isNull() | ~numbers.is_exact(cell)
+            parts += [value, F.when(told, cell)]
         else:
             parts.append(F.col(f.name))
     return parts

@@ -8,20 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..config import SkewPolicy
-from .skew import lookup
 
-
-def global_dense_rank(
-    rows: DataFrame, value: str, spread: Sequence[str], name: str, policy: SkewPolicy, slices: int = 256
-) -> DataFrame:
+def global_dense_rank(rows: DataFrame, value: str, name: str, slices: int = 256) -> DataFrame:
     """Dense rank of ``value``, largest first, over the whole frame.
 
     Distinct values are cut in ``slices`` value ranges at approximate quantiles; ranks run inside a
     slice and are shifted by the number of distinct values in the slices above. Only the slice counts
     (at most ``slices`` rows) are ever seen together. The cut points steer balance, not the result.
     """
-    values = rows.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    values = rows.select(F.col(value).alias("_value")).distinct()
     points = [i / slices for i in range(1, slices)]
     cuts = values.agg(F.percentile_approx("_value", points)).scalar()
     sliced = values.withColumn("_cuts", cuts).withColumn(
@@ -38,15 +33,9 @@ def global_dense_rank(
     ranked = (
         sliced.withColumn("_inside", inside)
         .join(F.broadcast(above), "_slice")
-        .select(
-            F.col("_value").cast("string").alias("_value_text"),
-            "_rows",
-            (F.col("_inside") + F.col("_above")).cast("bigint").alias(name),
-        )
+        .select("_value", (F.col("_inside") + F.col("_above")).cast("bigint").alias(name))
     )
-    keyed = rows.withColumn("_value_text", F.col(value).cast("string"))
-    found = lookup(keyed, ["_value_text"], ranked, "_rows", F.struct(*spread), policy)
-    return found.drop("_value_text", "_rows")
+    return rows.join(ranked, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 
 def top_values(rows: DataFrame, value: str, count: int, name: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key owns a large part of all rows."""
+"""Group statistics without windows."""
 
 from __future__ import annotations
 
@@ -6,70 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from ..config import SkewPolicy
 
-
-def lookup(
-    rows: DataFrame,
-    on: Sequence[str],
-    table: DataFrame,
-    weight: str,
-    spread: Column,
-    policy: SkewPolicy,
-) -> DataFrame:
-    """Left-join ``table`` (one row per ``on``) to ``rows``; ``weight`` says how many rows share a key.
-
-    The heaviest keys, at most ``policy.hot_keys`` of them, travel by broadcast. Their rows still pass
-    the shuffle (the plan stays one pass over ``rows``), but under a value hashed from ``spread``, so
-    they land evenly on all tasks. Every other key is joined by an ordinary shuffle on ``on``. Whatever
-    the hot list holds, each row meets its own key, so the result does not depend on the policy.
-
-    ``on`` columns must not be NULL, and the last of them must be a string or a bigint.
-    """
-    payload = [c for c in table.columns if c not in on]
-    slim = table.select(
-        *[F.col(c).alias(f"__key_{c}") for c in on], F.struct(*payload).alias("_found"), F.col(weight).alias("_weight")
-    )
-    hot = (
-        slim.filter(F.col("_weight") > policy.hot_rows)
-        .orderBy(F.desc("_weight"))
-        .limit(policy.hot_keys)
-        .select(*[F.col(f"__key_{c}").alias(f"__hot_{c}") for c in on], F.col("_found").alias("_hot"))
-    )
-    matches_hot = _all([F.col(c) == F.col(f"__hot_{c}") for c in on])
-    tagged = rows.join(F.broadcast(hot), matches_hot, "left")
-
-    last = on[-1]
-    scattered = F.xxhash64(spread)
-    if isinstance(rows.schema[last].dataType, StringType):
-        scattered = F.concat(F.lit("\u0000"), scattered.cast("string"))
-    tagged = tagged.withColumn("_route", F.when(F.col("_hot").isNull(), F.col(last)).otherwise(scattered))
-
-    route = [F.col(c) == F.col(f"__key_{c}") for c in on[:-1]] + [F.col("_route") == F.col(f"__key_{last}")]
-    joined = tagged.join(slim, _all([*route, F.col("_hot").isNull()]), "left")
-    found = F.coalesce("_hot", "_found")
-    return joined.select(*[rows[c] for c in rows.columns], found.alias("_answer")).select(
-        *rows.columns, *[F.col("_answer")[c].alias(c) for c in payload]
-    )
-
-
-def with_group_stats(
-    rows: DataFrame,
-    on: Sequence[str],
-    stats: dict[str, Column],
-    spread: Column,
-    policy: SkewPolicy,
-) -> DataFrame:
-    """Give every row aggregates of its group: the work of an unordered window, without handing any
-    group to a single task. Map-side partial aggregation shrinks hot groups before the shuffle."""
-    grouped = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in stats.items()])
-    return lookup(rows, on, grouped, "_rows", spread, policy).drop("_rows")
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
+def with_group_stats(rows: DataFrame, on: Sequence[str], stats: dict[str, Column]) -> DataFrame:
+    """Give every row aggregates of its group: the work of an unordered window, without handing any group
+    to a single task. Partial aggregation shrinks hot groups before the shuffle, and the join back has one
+    row a group on its right, so Spark broadcasts that side where it is small and splits skewed
+    partitions of the left side where it is not (see ``session.SETTINGS``)."""
+    keys = [F.col(c).alias(f"_on_{c}") for c in on]
+    grouped = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    same = F.lit(True)
+    for c in on:
+        same = same & rows[c].eqNullSafe(grouped[f"_on_{c}"])
+    return rows.join(grouped, same, "left").drop(*[f"_on_{c}" for c in on])

@@ -104,7 +104,7 @@ def product_summary_ranked(model: Model, config: RunConfig) -> DataFrame:
     """All products with their global dense rank by net sales. The summary is stored first, since the
     ranking reads it three times."""
     products = settler(model["products"].sparkSession)("product_summary", product_summary(model, config))
-    return global_dense_rank(products, "net_sales", ["product_id"], "net_sales_rank", config.skew)
+    return global_dense_rank(products, "net_sales", "net_sales_rank")
 
 
 def top_products(model: Model, config: RunConfig, ranks: int = 5) -> DataFrame:

@@ -36,7 +36,7 @@ def check_header(spark: SparkSession, path: str, columns: list[str]) -> None:
 
 
 def scan(spark: SparkSession, path: str, columns: list[str], *, quoted_newlines: bool = True) -> DataFrame:
-    """All-text rows with ``source_row`` and ``ragged``.
+    """All-text rows with ``source_row``, ``ragged`` and, for ragged rows, the untouched ``record``.
 
     Records that span lines need whole files, so such inputs scale by their number of files. With
     ``quoted_newlines=False`` large files are split and read by many tasks.
@@ -68,6 +68,7 @@ def number_records(rows: DataFrame, columns: list[str]) -> DataFrame:
     placed = rows.select(
         *columns,
         F.col(_CORRUPT).isNotNull().alias("ragged"),
+        F.col(_CORRUPT).alias("record"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
@@ -82,7 +83,7 @@ def number_records(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
     same = (F.col("_file") == F.col("_of")) & (F.col("_block") == F.col("_ob"))
     number = F.col("_id") - F.col("_first") + F.col("_before") + 2
-    return placed.join(offsets, same).select(*columns, number.alias("source_row"), "ragged")
+    return placed.join(offsets, same).select(*columns, number.alias("source_row"), "ragged", "record")
 
 
 def read_tables(

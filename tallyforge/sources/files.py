@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig
 
 
-# A digest reads a file's bytes in order, so it is one task's work and bound by the largest byte array.
-DIGEST_LIMIT = 2_000_000_000
+# Files up to this size are read by Spark as one value; larger ones are streamed. The digest is the same.
+WHOLE_BYTES = 256 << 20
 
 
-def file_digests(spark: SparkSession, pattern: str, limit: int = DIGEST_LIMIT) -> DataFrame:
-    """Path, SHA-256 and size of every matching file. Files above ``limit`` bytes are listed without a
-    digest and their content is not read; the size filter reaches the source."""
+def file_digests(spark: SparkSession, pattern: str, whole: int = WHOLE_BYTES) -> DataFrame:
+    """Path, SHA-256 and size of every matching file. A digest is over a file's bytes in order and so one
+    task's work, but no task holds a large file: files above ``whole`` bytes are read in pieces."""
     found = spark.read.format("binaryFile").load(pattern)
-    digested = found.filter(F.col("length") <= limit).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
-    listed = found.filter(F.col("length") > limit).select("path", F.lit(None).cast("string").alias("sha256"), F.col("length").alias("bytes"))
-    return digested.unionByName(listed)
+    small = found.filter(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    large = found.filter(F.col("length") > whole).select("path", F.col("length").alias("bytes"))
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for path in batch.column("path").to_pylist():
+                uri = path if "://" in path or not path.startswith("file:") else path.removeprefix("file:")
+                files, name = pyarrow.fs.FileSystem.from_uri(uri)
+                sha = hashlib.sha256()
+                with files.open_input_stream(name, compression=None) as source:
+                    while piece := source.read(1 << 20):
+                        sha.update(piece)
+                digests.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(digests, pa.string()), batch.column("bytes")], names=["path", "sha256", "bytes"])
+
+    return small.unionByName(large.mapInArrow(stream, "path string, sha256 string, bytes long"))
 
 
 def source_manifest(spark: SparkSession, folder: str, raw: Mapping[str, DataFrame], config: RunConfig) -> DataFrame:

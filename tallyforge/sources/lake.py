@@ -57,14 +57,9 @@ def unit_price(int_div: str) -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, columns: list[str] | None = None) -> DataFrame:
-    """One lake table. A large file that arrives in fewer splits than there are cores is spread over
-    them; inputs with enough splits, as on a cluster, are read where they lie without a shuffle."""
+    """One lake table, read where it lies."""
     frame = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    if columns is None:
-        return frame
-    frame = frame.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return frame.repartition(cores, *columns) if frame.rdd.getNumPartitions() < cores else frame
+    return frame if columns is None else frame.select(*columns)
 
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
@@ -150,7 +145,9 @@ def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _code(letter: str, key: str, digits: int = 12) -> str:
-    return f"concat('{letter}', lpad(CAST({key} AS STRING), {digits}, '0'))"
+    """A letter and a key of at least ``digits`` digits; longer keys keep all of theirs."""
+    text = f"CAST({key} AS STRING)"
+    return f"concat('{letter}', lpad({text}, greatest(CAST(length({text}) AS INT), {digits}), '0'))"
 
 
 def _us(day: str) -> str:
@@ -203,16 +200,16 @@ ORDER_COPIES = "CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END"
 # Lines are textified in two steps: parts that several columns share are named once in the base step.
 
 
-def line_base(int_div: str, days: str) -> list[str]:
-    """Shared pieces of one line. ``days`` counts days since 1970 and is spelled per engine; together
-    with the keys it makes a whole-number row identity of up to 37 digits."""
-    digits = (
-        "concat(CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), lpad(CAST(l_partkey AS STRING), 9, '0'),"
-        f" lpad(CAST(l_suppkey AS STRING), 8, '0'), lpad(CAST({days} AS STRING), 5, '0'))"
-    )
+# Lines may share order and line number; a running number among those few makes the row number unique.
+_RUNNING = "row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate)"
+ROW_NUMBER = f"(CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 2048 + {_RUNNING} * 2"
+
+
+def line_base(int_div: str) -> list[str]:
+    """Shared pieces of one line. The row number leaves room for one copy."""
     return [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        f"{digits} AS row_digits",
+        f"{ROW_NUMBER} AS row_number",
         f"{_code('L', 'l_orderkey')} AS line_code",
         f"{_code('O', 'l_orderkey')} AS order_code",
         f"{_code('P', 'l_partkey')} AS product_code",
@@ -225,7 +222,7 @@ def line_base(int_div: str, days: str) -> list[str]:
 
 LINE_COPIES = "CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END"
 LINE_RAW = [
-    "CAST(concat(row_digits, CAST(copy AS STRING)) AS DECIMAL(38,0)) AS source_row",
+    "CAST(row_number + copy AS BIGINT) AS source_row",
     "concat(line_code, CAST(l_linenumber AS STRING)) AS order_line_id",
     "CASE WHEN l_orderkey % 73 = 8 THEN 'O99999999999X' ELSE order_code END AS order_id",
     "CASE WHEN l_partkey % 79 = 8 THEN lower(product_code) ELSE product_code END AS product_id",
@@ -239,12 +236,11 @@ LINE_RAW = [
 ]
 
 
-def event_base(days: str) -> list[str]:
+def event_base() -> list[str]:
     """Shared pieces of the return events of one line."""
-    digits = line_base("div", days)[4]
     return [
         "l_orderkey", "l_suppkey", "l_linenumber",
-        digits,
+        f"{ROW_NUMBER} AS row_number",
         f"{_code('R', 'l_orderkey')} AS event_code",
         f"{_code('L', 'l_orderkey')} AS line_code",
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS day_text",
@@ -257,7 +253,7 @@ def event_base(days: str) -> list[str]:
 # A second event on the line is another record of its own.
 EVENT_COPIES = "CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END"
 EVENT_RAW = [
-    "CAST(concat(row_digits, CAST(copy AS STRING)) AS DECIMAL(38,0)) AS source_row",
+    "CAST(row_number + copy AS BIGINT) AS source_row",
     "concat(event_code, CAST(l_linenumber AS STRING), CAST(copy AS STRING)) AS return_id",
     "concat(line_code, CAST(l_linenumber AS STRING)) AS order_line_id",
     "CASE WHEN l_suppkey % 23 = 1 THEN concat(substr(day_text, 6, 2), '/', substr(day_text, 9, 2), '/',"
@@ -276,13 +272,12 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     lineitem = read(spark, sf_dir, "lineitem", [*LINE_COLUMNS, "l_returnflag"])
-    days = "datediff(CAST(l_shipdate AS DATE), DATE '1970-01-01')"
 
     def copied(frame: DataFrame, copies: str, columns: list[str]) -> DataFrame:
         return frame.selectExpr("*", f"explode(sequence(0, {copies})) AS copy").selectExpr(*columns)
 
-    lines = lineitem.selectExpr(*line_base("div", days))
-    events = lineitem.filter("l_returnflag = 'R'").selectExpr(*event_base(days))
+    lines = lineitem.selectExpr(*line_base("div"))
+    events = lineitem.filter("l_returnflag = 'R'").selectExpr(*event_base())
     return {
         "customers": copied(placed, CUSTOMER_COPIES, CUSTOMER_RAW),
         "products": copied(read(spark, sf_dir, "part"), PRODUCT_COPIES, PRODUCT_RAW),

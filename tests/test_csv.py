@@ -13,7 +13,7 @@ def write(path, text):
 
 
 def read(frame):
-    return [tuple(r) for r in frame.orderBy("source_row").collect()]
+    return [tuple(r) for r in frame.drop("record").orderBy("source_row").collect()]
 
 
 def test_cells_stay_text_and_records_are_numbered(spark, tmp_path):
@@ -32,6 +32,11 @@ def test_ragged_records_are_flagged(spark, tmp_path):
     assert [(n, bad) for *_, n, bad in read(csv.scan(spark, path, COLUMNS))] == [(2, False), (3, True), (4, True), (5, False)]
 
 
+def test_ragged_records_keep_their_text(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "a,b\n1,2\n4,5,6\n")
+    assert [r["record"] for r in csv.scan(spark, path, COLUMNS).orderBy("source_row").collect()] == [None, "4,5,6"]
+
+
 @pytest.mark.parametrize("header,message", [("b,a", "unexpected header"), ("a", "unexpected header"), ("a,b,source_row", "source_row")])
 def test_wrong_headers_are_errors(spark, tmp_path, header, message):
     path = write(tmp_path / "t.csv", header + "\n1,2\n")

@@ -44,12 +44,12 @@ def by(frame, key, *columns):
 
 
 def test_several_returns_keep_one_fact_row(spark):
-    model = {**parents(spark), "returns": events(spark, ("R1", "L000001", date(2025, 2, 1), 2, "x"), ("R2", "L000001", date(2025, 2, 2), 1, "x"))}
+    model = {**parents(spark), "returns": events(spark, ("R81", "L640219", date(2025, 6, 20), 1, "x"), ("R82", "L640219", date(2025, 7, 4), 4, "x"))}
     rows = facts.line_facts(model, CONFIG).collect()
     assert len(rows) == 1
     row = rows[0]
     assert (row["returned_units"], row["return_events"], row["latest_return_date"], row["net_sales"], row["order_month"]) == (
-        3, 2, date(2025, 2, 2), D("180"), "2025-01")
+        5, 2, date(2025, 7, 4), D("140.40"), "2025-06")
     assert [c for c in facts.line_facts(model, CONFIG).columns if c.endswith("source_row")] == [
         "line_source_row", "order_source_row", "customer_source_row", "product_source_row"]
     assert len(facts.line_facts(model, CONFIG).columns) == 32

@@ -1,4 +1,4 @@
-"""Hot keys: results do not depend on the policy, and plans keep hot groups apart."""
+"""Group statistics, ranks and sequences over hot keys; parent joins are split at run time."""
 
 import random
 from collections import Counter
@@ -6,9 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.config import SkewPolicy
 from tallyforge.operators.ranking import global_dense_rank, sequence_in_group, top_per_group, top_values
-from tallyforge.operators.skew import lookup, with_group_stats
+from tallyforge.operators.skew import with_group_stats
 
 
 @pytest.fixture(scope="module")
@@ -18,52 +17,26 @@ def rows(spark):
     return data, spark.createDataFrame(data, "id BIGINT, k STRING, v BIGINT")
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(10, 3), SkewPolicy(0, 10_000)])
-def test_group_stats_equal_brute_force(rows, policy):
+def test_group_stats_equal_brute_force(rows):
     data, frame = rows
     sums, counts = Counter(), Counter()
     for _, k, v in data:
         sums[k] += v
         counts[k] += 1
-    got = with_group_stats(frame, ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))}, F.col("id"), policy)
+    got = with_group_stats(frame, ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))})
     assert sorted(tuple(r) for r in got.collect()) == sorted((i, k, v, sums[k], counts[k]) for i, k, v in data)
 
 
-def test_hot_rows_land_on_many_partitions(spark, rows):
-    """With shuffled joins forced, the rows of the hot key leave the join on more than one partition."""
-    _, frame = rows
-    off = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.enabled": "false",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    old = {k: spark.conf.get(k) for k in off}
-    for k, v in off.items():
-        spark.conf.set(k, v)
-    try:
-        got = with_group_stats(frame, ["k"], {"total": F.sum("v")}, F.col("id"), SkewPolicy(100, 10))
-        placed = got.select("k", "total", F.spark_partition_id().alias("p")).groupBy("k").agg(F.count_distinct("p").alias("n"), F.max("total"))
-        parts = {r["k"]: r["n"] for r in placed.collect()}
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert parts.pop("hot") > 4 and set(parts.values()) == {1}
-
-
-def test_lookup_leaves_unknown_keys_empty(spark, rows):
-    _, frame = rows
-    table = spark.createDataFrame([("hot", 7, 1000)], "k STRING, x INT, n BIGINT")
-    for policy in (SkewPolicy(), SkewPolicy(0, 5)):
-        got = lookup(frame, ["k"], table, "n", F.col("id"), policy)
-        assert got.count() == 3000
-        assert {(r["k"] == "hot", r["x"]) for r in got.collect()} == {(True, 7), (False, None)}
+def test_group_stats_of_missing_keys(spark):
+    frame = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id BIGINT, k STRING")
+    got = with_group_stats(frame, ["k"], {"n": F.count(F.lit(1))})
+    assert sorted((r["id"], r["n"]) for r in got.collect()) == [(1, 2), (2, 2), (3, 1)]
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(0, 4)])
-def test_global_dense_rank(rows, policy):
+def test_global_dense_rank(rows):
     data, frame = rows
     order = {v: n for n, v in enumerate(sorted({v for *_, v in data}, reverse=True), 1)}
-    got = global_dense_rank(frame, "v", ["id"], "rank", policy, slices=7)
+    got = global_dense_rank(frame, "v", "rank", slices=7)
     assert sorted(tuple(r) for r in got.collect()) == sorted((i, k, v, order[v]) for i, k, v in data)
 
 
