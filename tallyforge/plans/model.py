@@ -185,7 +185,13 @@ def prepared(model: Model, config: RunConfig, settle) -> Model:
     return {**model, "sales_lines": lines, "order_totals": settle("order_totals", _fold(lines, ["order_id"]))}
 
 
-def register_views(spark: SparkSession, model: Model, config: RunConfig) -> None:
-    """Session views for SQL users."""
+def register_views(spark: SparkSession, model: Model, config: RunConfig, quality: DataFrame | None = None) -> None:
+    """Session views for SQL users: ``line_sales``, ``order_sales`` and, with a summary of the cleaning,
+    ``quality_summary``."""
     sales_lines(model, config).createOrReplaceTempView("line_sales")
     order_sales(model, config, keep_empty=True).createOrReplaceTempView("order_sales")
+    if quality is not None:
+        quality.select(
+            F.col("table").alias("source_table"), "raw_rows", F.col("clean_rows").alias("accepted_rows"),
+            F.col("duplicate_rows_removed").alias("duplicate_rows"), "rejected_rows",
+        ).createOrReplaceTempView("quality_summary")

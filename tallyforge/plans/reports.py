@@ -235,7 +235,7 @@ def order_sequence(model: Model, config: RunConfig) -> DataFrame:
         "customer_id", "order_id", "order_date", "month_start", "net_sales"
     )
     numbered = sequence_in_group(
-        orders, "customer_id", "month_start", ["order_date", "order_id"], "observed_order_sequence"
+        orders, "customer_id", "order_date", ["order_id"], "observed_order_sequence"
     )
     return numbered.drop("month_start")
 
@@ -395,9 +395,17 @@ def _scenario_total(model: Model, config: RunConfig, lines: DataFrame) -> DataFr
     return totals.select(F.explode(cells).alias("cell")).select("cell.*")
 
 
-def business_summary(model: Model, config: RunConfig, quality: DataFrame | None = None) -> DataFrame:
-    """One nested row: period, cutoff, totals, exclusions, findings and quality, ready for a JSON sink."""
-    totals = one_row(kpis(model, config), excluded(model, config))
+def business_summary(
+    model: Model, config: RunConfig, quality: DataFrame | None = None, *, sources: DataFrame | None = None, passed: DataFrame | None = None
+) -> DataFrame:
+    """One nested row: period, cutoff, totals, repeat customers, exclusions, findings, top products,
+    quality, sources and the outcome of the checks, ready for a JSON sink. Every list in it has as many
+    entries as there are tables, files or ranks."""
+    repeats = repeat_customers(model, config, keep_empty=False).select(
+        "repeat_customers", "repeat_customer_rate", "repeat_customer_net_sales",
+        F.col("repeat_customer_sales_share").alias("repeat_sales_share"),
+    )
+    totals = one_row(kpis(model, config), excluded(model, config), repeats)
     found = findings(model, config).agg(
         F.map_from_entries(F.collect_list(F.struct("finding", F.struct("member", "value")))).alias("findings")
     )
@@ -407,8 +415,11 @@ def business_summary(model: Model, config: RunConfig, quality: DataFrame | None
         F.lit("USD").alias("currency"),
         F.struct("*").alias("kpis"),
     )
-    row = row.withColumn("findings", found.scalar())
-    if quality is not None:
-        listed = quality.agg(F.collect_list(F.struct("*")).alias("quality"))
-        row = row.withColumn("quality", listed.scalar())
-    return row
+    ranked = F.struct("net_sales_rank", "product_id", "product_name", "category", "net_sales", "sold_units", "returned_units")
+    best = top_products(model, config).agg(F.sort_array(F.collect_list(ranked)).alias("top_products"))
+    row = row.withColumns({"findings": found.scalar(), "top_products": best.scalar()})
+    lists = {"quality": quality, "sources": sources}
+    for name, frame in lists.items():
+        if frame is not None:
+            row = row.withColumn(name, frame.agg(F.collect_list(F.struct("*"))).scalar())
+    return row if passed is None else row.withColumn("validation_passed", passed.scalar())

@@ -59,6 +59,8 @@ def run(
     tune(spark)
     raw = csv.read_tables(spark, raw_folder, config, quoted_newlines=quoted_newlines)
     staged = csv.stage(raw, f"{out_folder}/staged", spark)
+    guard = _stored(spark, checks.staging_checks(audit.staging_guard(staged, config)), f"{out_folder}/checks/staging")
+    checks.enforce(guard)
     labelled = clean_all(staged, config, _store(spark, out_folder))
     model = {t.name: accepted(labelled[t.name], t) for t in config.tables}
 
@@ -69,16 +71,19 @@ def run(
     model = prepared(model, config, lambda name, frame: _stored(spark, frame, f"{out_folder}/facts/{name}"))
     for name, build in SUMMARIES.items():
         build(model, config).write.mode("overwrite").parquet(f"{out_folder}/analysis/{name}")
-    register_views(spark, model, config)
+    register_views(spark, model, config, quality)
 
-    results = checks.all_checks(model, config, quality)
+    results = checks.all_checks(model, config, quality).unionByName(checks.rule_checks(model, config)).unionByName(guard)
     if expectations:
         expected = files.read_expectations(spark, expectations, config)
         compared = expected_vs_actual(expected, checks.actual_measures(model, config, quality))
         results = results.unionByName(checks.expectation_checks(compared))
     results = _stored(spark, results, f"{out_folder}/checks/validation_results")
-    files.write_json(files.source_manifest(spark, raw_folder, staged, config), f"{out_folder}/checks/source_manifest")
-    files.write_json(reports.business_summary(model, config, quality), f"{out_folder}/analysis/summary")
+    manifest = _stored(spark, files.source_manifest(spark, raw_folder, staged, config), f"{out_folder}/checks/manifest")
+    files.write_json(manifest, f"{out_folder}/checks/source_manifest")
+    passed = results.agg(F.every("passed").alias("validation_passed"))
+    summary = reports.business_summary(model, config, quality, sources=manifest, passed=passed)
+    files.write_json(summary, f"{out_folder}/analysis/summary")
     checks.enforce(results)
     return RunResult(labelled, model, quality, results)
 

@@ -79,8 +79,8 @@ def test_json_keeps_nulls(spark):
 
 def test_sql_functions(spark):
     sql.register(spark)
-    row = spark.sql("SELECT clean_text('\t  ') a, explicit_date(' 09/14/2024') b, us_number('6,071.5') c, us_number('60,71') d").first()
-    assert tuple(row) == (None, date(2024, 9, 14), D("6071.5"), None)
+    row = spark.sql("SELECT clean_text('\t  ') a, explicit_date(' 09/14/2024') b, us_number('6,071.5') c, us_number('60,71') d, us_number('9-') e, us_number('.25') f, us_number('3.4.5') g").first()
+    assert tuple(row) == (None, date(2024, 9, 14), D("6071.5"), D(6071), D(-9), D("0.25"), None)
 
 
 def test_ratios_and_tolerance(spark):
