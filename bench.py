@@ -19,6 +19,7 @@ HEADLINES = [
     "top3_products_per_category", "top10_products_by_refund", "channel_summary", "region_summary", "customer_summary",
     "repeat_customers", "monthly_trend", "returning_at_purchase", "order_sequence", "refund_by_reason", "what_if",
     "normalize_orders", "normalize_order_lines", "dedupe_exact", "disposition", "constraint_violations", "reconcile_summaries",
+    "findings_extremes", "group_vs_overall", "json_summary",
 ]
 
 
