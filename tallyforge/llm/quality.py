@@ -99,21 +99,21 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad where ``bad`` holds, good where ``good`` holds, and abstains in between. ``trust`` is how
-    often its bad votes are believed to be right before the corpus has been looked at."""
+    """Votes bad where ``bad`` holds, good where ``good`` holds, and abstains in between. ``precision`` is
+    the least share of its bad votes that is taken to be right; the fit may raise it."""
 
     name: str
     good: str
     bad: str
-    trust: float = 0.9
+    precision: float = 0.97
 
 
 # Thresholds in whole numbers, so that every engine decides alike.
 RULES = (
     Rule("symbols", "50 * n_symbols <= n_words", "4 * n_symbols >= n_words"),
     Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words", 0.7),
-    Rule("duplicate_lines", "n_dup_lines = 0", "4 * n_dup_lines >= n_lines", 0.6),
-    Rule("repetition", "10 * n_repeat_words <= n_words", "10 * n_repeat_words >= 4 * n_words", 0.7),
+    Rule("duplicate_lines", "n_dup_lines = 0", "2 * n_dup_lines >= n_lines", 0.5),
+    Rule("repetition", "10 * n_repeat_words <= n_words", "2 * n_repeat_words > n_words", 0.7),
     Rule("capitals", "5 * n_capitals <= word_chars", "2 * n_capitals >= word_chars"),
     Rule("shouting", "20 * n_shouts <= n_words", "5 * n_shouts >= n_words"),
 )
@@ -149,19 +149,32 @@ class Model:
         return total
 
 
+# Log odds that one good vote can add: it only says that this rule found nothing.
+MOST_GOOD = 0.25
+
+
+def _bounded(chances: dict[int, tuple[float, float]], rule: Rule, prior: float) -> dict[int, tuple[float, float]]:
+    """What a rule's votes may say at most: a bad vote is right at least as often as the rule's precision,
+    a good vote speaks for good quality by at most MOST_GOOD, and abstaining says nothing."""
+    good, bad = chances[-1]
+    good = min(good, bad * (1 - prior) / prior * (1 - rule.precision) / rule.precision)
+    well, ill = chances[1]
+    ill = min(well, max(ill, well * math.exp(-MOST_GOOD)))
+    return {-1: (good, bad), 0: (1.0, 1.0), 1: (well, ill)}
+
+
 def start(rules: tuple[Rule, ...]) -> Model:
-    """Where the fit begins. A bad vote is right as often as the rule is trusted; a good vote only says
-    that this rule found nothing, which is little: junk is mostly junk in one respect."""
-    chances = tuple({-1: (0.1 * (1 - r.trust), 0.1 * r.trust), 0: (0.1, 0.1), 1: (0.55, 0.45)} for r in rules)
-    return Model(0.8, chances)
+    """Where the fit begins: every rule at its least precision, good votes without weight."""
+    return Model(0.8, tuple(_bounded({-1: (0.1, 0.1), 0: (1.0, 1.0), 1: (0.5, 0.5)}, r, 0.8) for r in rules))
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]], rules: tuple[Rule, ...], rounds: int = 50) -> Model:
     """Expectation-maximisation over vote patterns with counts: how often each rule votes bad, abstains
     or votes good in either class, and how common the good class is.
 
-    ``start`` says which class is the good one. Pseudo-counts of one vote in a thousand, at least ten,
-    keep rare votes finite, and a bad vote never speaks for good quality.
+    Junk of one kind sets off one rule and passes the others, so agreement alone would call it good; the
+    rules' least precisions keep that from happening and say which class is the good one. Pseudo-counts
+    of one row in a thousand, at least ten, keep rare votes finite.
     """
     model, rows = start(rules), sum(n for _, n in patterns)
     extra = max(10.0, rows / 1000)
@@ -173,13 +186,12 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rules: tuple[Rule, ...], ro
             for j, v in enumerate(votes):
                 seen[j][v][0] += n * p
                 seen[j][v][1] += n * (1 - p)
+        prior = min(0.95, max(0.05, good / (rows + extra)))
         chances = []
-        for by_vote in seen:
+        for by_vote, rule in zip(seen, rules):
             sums = [sum(by_vote[v][c] for v in VOTES) for c in (0, 1)]
-            share = {v: (by_vote[v][0] / sums[0], by_vote[v][1] / sums[1]) for v in VOTES}
-            share[-1] = (min(share[-1]), share[-1][1])
-            chances.append(share)
-        model = Model(min(0.99, max(0.05, good / (rows + extra))), tuple(chances))
+            chances.append(_bounded({v: (by_vote[v][0] / sums[0], by_vote[v][1] / sums[1]) for v in VOTES}, rule, prior))
+        model = Model(prior, tuple(chances))
     return model
 
 

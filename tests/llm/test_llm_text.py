@@ -76,14 +76,31 @@ def test_long_windows_are_compared_whole(spark, monkeypatch):
 
 
 def test_quality_model_on_planted_votes():
+    """Two kinds of junk that set off one rule each, and clean rows that seldom do."""
     rng = random.Random(3)
     rules = tuple(quality.Rule(str(j), "true", "false") for j in range(4))
-    votes = Counter()
-    for _ in range(4000):
-        good = rng.random() < 0.8
-        votes[tuple((1 if rng.random() < 0.97 else -1) if good else rng.choice([-1, -1, 0, 1]) for _ in rules)] += 1
+    votes, kinds = Counter(), Counter()
+    for _ in range(5000):
+        kind = rng.choices(["good", "a", "b"], [8, 1, 1])[0]
+        row = [1 if rng.random() < 0.95 else 0 for _ in rules]
+        if kind != "good":
+            row["ab".index(kind)] = -1
+        votes[tuple(row)] += 1
+        kinds[(tuple(row), kind)] += 1
     model = quality.fit(sorted(votes.items()), rules)
-    assert 0.7 < model.prior < 0.9 and model.log_odds((1, 1, 1, 1)) > 0 > model.log_odds((-1, -1, 0, 1))
+    assert 0.75 < model.prior < 0.9
+    right = sum(n for (row, kind), n in kinds.items() if (model.log_odds(row) >= 0) == (kind == "good"))
+    assert right > 4990
+
+
+def test_junk_labels(spark):
+    """Held against the labels of a small table: junk goes and good documents that pass the base rule stay."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = quality.judge(docs).join(labels, "doc_id").where("NOT base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r["quality"]: r["kept"] for r in got.collect()}
+    assert kept[1] > 0.99 and kept[0] < 0.1
 
 
 @pytest.mark.parametrize("shards", [1, 3, 8])
