@@ -173,7 +173,8 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rules: tuple[Rule, ...], ro
     or votes good in either class, and how common the good class is.
 
     Junk of one kind sets off one rule and passes the others, so agreement alone would call it good; the
-    rules' least precisions keep that from happening and say which class is the good one. Pseudo-counts
+    rules' least precisions keep that from happening and say which class is the good one, and the good class
+    is held to be at least half, so that a row with which no rule finds fault is never rejected. Pseudo-counts
     of one row in a thousand, at least ten, keep rare votes finite.
     """
     model, rows = start(rules), sum(n for _, n in patterns)
@@ -186,7 +187,7 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rules: tuple[Rule, ...], ro
             for j, v in enumerate(votes):
                 seen[j][v][0] += n * p
                 seen[j][v][1] += n * (1 - p)
-        prior = min(0.95, max(0.05, good / (rows + extra)))
+        prior = min(0.95, max(0.5, good / (rows + extra)))
         chances = []
         for by_vote, rule in zip(seen, rules):
             sums = [sum(by_vote[v][c] for v in VOTES) for c in (0, 1)]
