@@ -35,32 +35,38 @@ def check_header(spark: SparkSession, path: str, columns: list[str]) -> None:
         raise HeaderError(f"unexpected header in {path}: {found}")
 
 
+_OPTIONS = {
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def scan(spark: SparkSession, path: str, columns: list[str], *, quoted_newlines: bool = True) -> DataFrame:
     """All-text rows with ``source_row``, ``ragged`` and, for ragged rows, the untouched ``record``.
 
     Records that span lines need whole files, so such inputs scale by their number of files. With
-    ``quoted_newlines=False`` large files are split and read by many tasks.
+    ``quoted_newlines=False`` large files are split and read by many tasks, line by line. Either way an
+    empty line is no record, and a line of blanks is one (with the wrong field count).
     """
     check_header(spark, path, columns)
     schema = StructType([StructField(c, StringType()) for c in [*columns, _CORRUPT]])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", quoted_newlines)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
-    return number_records(rows, columns)
+    if quoted_newlines:
+        reader = spark.read.schema(schema).options(header=True, enforceSchema=False, multiLine=True, **_OPTIONS)
+        return number_records(reader.csv(path), columns)
+    lines = spark.read.text(path).filter(F.col("value") != "")
+    fields = schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    parsed = lines.withColumn("_fields", F.from_csv("value", fields, _OPTIONS))
+    rows = parsed.select(*[F.col("_fields")[c].alias(c) for c in [*columns, _CORRUPT]], "_metadata")
+    return number_records(rows, columns, header=True)
 
 
-def number_records(rows: DataFrame, columns: list[str]) -> DataFrame:
+def number_records(rows: DataFrame, columns: list[str], *, header: bool = False) -> DataFrame:
     """Number logical records in file order: the header is 1, the first record 2, and further files of
-    the same table continue the count.
+    the same table continue the count. With ``header`` the first row of every file is its header, which
+    is left out.
 
     A row's place is its index inside its file block plus the records of all earlier blocks. Only one
     small row per block is gathered to build the offsets; the data itself is never sorted or moved.
@@ -73,17 +79,23 @@ def number_records(rows: DataFrame, columns: list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
     )
+    heads = F.when(F.col("_block") == 0, 1).otherwise(0) if header else F.lit(0)
     blocks = placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size"))
     ordered = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = blocks.select(
         F.col("_file").alias("_of"),
         F.col("_block").alias("_ob"),
-        "_first",
-        F.coalesce(F.sum("_size").over(ordered), F.lit(0)).alias("_before"),
+        (F.col("_first") + heads).alias("_first"),
+        F.coalesce(F.sum(F.col("_size") - heads).over(ordered), F.lit(0)).alias("_before"),
     )
     same = (F.col("_file") == F.col("_of")) & (F.col("_block") == F.col("_ob"))
     number = F.col("_id") - F.col("_first") + F.col("_before") + 2
-    return placed.join(offsets, same).select(*columns, number.alias("source_row"), "ragged", "record")
+    found = F.array(*[F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "") for c in columns])
+    expected = (found == F.array(*map(F.lit, columns))) & ~F.col("ragged")
+    wrong = F.raise_error(F.concat(F.lit("unexpected header in "), "_file")).cast("boolean")
+    is_record = F.when(F.col("_id") >= F.col("_first"), True).otherwise(F.when(expected, False).otherwise(wrong))
+    joined = placed.join(offsets, same).filter(is_record)
+    return joined.select(*columns, number.alias("source_row"), "ragged", "record")
 
 
 def read_tables(

@@ -37,6 +37,20 @@ def test_ragged_records_keep_their_text(spark, tmp_path):
     assert [r["record"] for r in csv.scan(spark, path, COLUMNS).orderBy("source_row").collect()] == [None, "4,5,6"]
 
 
+def test_headers_of_further_files_are_checked(spark, tmp_path):
+    write(tmp_path / "t.csv" / "1.csv", "a,b\n1,2\n")
+    write(tmp_path / "t.csv" / "2.csv", "b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        csv.scan(spark, str(tmp_path / "t.csv"), COLUMNS, quoted_newlines=False).collect()
+
+
+def test_blank_lines_read_alike_in_both_modes(spark, tmp_path):
+    path = write(tmp_path / "t.csv", 'a,b\n1,2\n   \n\n"3,4",5\n6\n')
+    both = [read(csv.scan(spark, path, COLUMNS, quoted_newlines=m)) for m in (True, False)]
+    assert both[0] == both[1]
+    assert [(n, bad) for *_, n, bad in both[0]] == [(2, False), (3, True), (4, False), (5, True)]
+
+
 @pytest.mark.parametrize("header,message", [("b,a", "unexpected header"), ("a", "unexpected header"), ("a,b,source_row", "source_row")])
 def test_wrong_headers_are_errors(spark, tmp_path, header, message):
     path = write(tmp_path / "t.csv", header + "\n1,2\n")
