@@ -115,7 +115,7 @@ class Roller:
 
 def write(
     pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-    least_revisit: int = 1000, rows_per_part: int = 20_000, file_bytes: int = 64 << 20, date: str = "2000-01-01T00:00:00Z",
+    least_revisit: int = 1000, part_bytes: int = 32 << 20, file_bytes: int = 64 << 20, date: str = "2000-01-01T00:00:00Z",
 ) -> DataFrame:
     """Write ``pages`` as archives under ``folder`` and return their manifest (also stored there).
 
@@ -135,7 +135,8 @@ def write(
     long_ = hashed.where(F.col("size") >= least_revisit)
     most = long_.groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("sha1", "refers_to")
     revisits = long_.join(most, "sha1").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "sha1", "refers_to").distinct()
-    parts = slices(hashed.count(), rows_per_part)
+    # A record's headers count as a kilobyte.
+    parts = slices(hashed.agg(F.sum(F.col("size") + 1000)).first()[0] or 0, part_bytes)
     none = lambda t: F.lit(None).cast(t)
     order = [F.col("page_id").asc_nulls_first(), F.col("sha1")]
     ready = (

@@ -50,7 +50,7 @@ def test_archive_round_trip(spark):
     big, rng = "ä" * 600, random.Random(1)
     rows = [(i, f"http://x/{i}", rng.choice([big, big + "1", "small", f"{i}" * 700]), "f") for i in range(80)]
     rows += [(200, "http://a b\n", "dup", "f"), (200, None, "dup", "f"), (None, "n", big, "f"), (None, "n", None, "f"), (90, "r", "R" * 2000, "f"), (90, "r", "R" * 2000, "f"), (300, "u", "x" * 400_000, "f")]
-    got = archived(spark, rows, rows_per_part=13, file_bytes=2000).collect()
+    got = archived(spark, rows, part_bytes=60_000, file_bytes=2000).collect()
     most, want = {}, Counter()
     for i, _, h, _ in rows:
         most[h] = max([x for x in (most.get(h), i) if x is not None], default=None)
@@ -67,7 +67,7 @@ def test_archive_round_trip(spark):
 def test_archives_are_equal_when_written_again(spark):
     rows = [(i, "u", "page " * (i + 200), "f") for i in range(50)]
     pages = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, file STRING")
-    shas = [sorted((r.file, r.sha256) for r in warc.write(pages.repartition(n), common.shared_dir(spark, "w"), rows_per_part=1000).collect()) for n in (1, 4)]
+    shas = [sorted((r.file, r.sha256) for r in warc.write(pages.repartition(n), common.shared_dir(spark, "w"), part_bytes=1 << 30).collect()) for n in (1, 4)]
     assert shas[0] == shas[1]
     assert archived(spark, rows[:0] or [], ).count() == 0
 
