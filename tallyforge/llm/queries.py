@@ -79,13 +79,39 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf_dir, "documents"), str(vocabulary), public_tokenizers.PATTERN)
 
 
-@query("op9_embedding_near_dedup")
+_NEAR = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), fine AS (
+    SELECT * FROM v
+    WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = c.vec_id) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM component c
+"""
+
+
+@query("op9_embedding_near_dedup", _NEAR)
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors of equal labels."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
 
-@query("op10_warc")
+_WARC = """
+SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+    CASE WHEN strlen(h) >= 1000 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN strlen(h) >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages) p
+"""
+
+
+@query("op10_warc", _WARC)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back."""
     found = warc.archive(table(spark, sf_dir, "pages"))
