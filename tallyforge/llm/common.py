@@ -20,7 +20,7 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     costs a re-read."""
     spark = frame.sparkSession
     path = shared_dir(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -19,6 +19,8 @@ from tallyforge.llm.common import settle, slices
 LENGTH, GRAM = 400, 128
 # Bytes an index holds; sections of one anchor beyond which they are compared by counting instead.
 INDEX_BYTES, HOT = 1 << 19, 1000
+# Rows and stretches (a few dozen bytes each) that may be broadcast.
+SENT = 500_000
 # Positions of a stretch fit in PLACE bits of the packed hash.
 PLACE = 20
 
@@ -192,7 +194,7 @@ def _same(x: DataFrame, y: DataFrame):
 
 def find(docs: DataFrame) -> DataFrame:
     """Stretches to remove of ``docs`` (doc_id, body, t1, t2, t3): the names of rows with lists of (from,
-    to), only for rows that have any. Lists may overlap and repeat."""
+    to), in order and apart, only for rows that have any."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     name_fields = f"doc_id {kind}, t1 long, t2 long, t3 long"
 
@@ -296,12 +298,22 @@ def find(docs: DataFrame) -> DataFrame:
     windows = settle(pieces.where("place < 0").distinct().mapInArrow(each, f"{name_fields}, at long, window binary"), "repeat-windows")
     twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     counted = windows.join(twice, "window", "left_semi").select(*NAME, F.col("at").alias("from"), (F.col("at") + LENGTH).alias("to"))
-    # Names first, so that a row's stretches are put in order once.
-    return (
+    gathered = (
         full.unionByName(indexed).unionByName(counted).distinct()
         .groupBy(*NAME).agg(F.collect_list(F.struct("from", "to")).alias("stretches"))
     )
 
+    def joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                [{"from": a, "to": b} for a, b in merged((s["from"], s["to"]) for s in row)]
+                for row in batch.column("stretches").to_pylist()
+            ]
+            kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in NAME), pa.array(found, kind)], names=[*NAME, "stretches"])
+
+    return gathered.mapInArrow(joined_up, f"{name_fields}, stretches array<struct<from: long, to: long>>")
+
 
 def merged(spans) -> list[tuple[int, int]]:
     """Overlapping and touching stretches as one."""
@@ -338,6 +350,9 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
         packed = docs.select(F.col(id_col).alias("doc_id"), body.alias("body"))
     named = _keyed(packed)
     spans = settle(find(named.select(*NAME, "body")), "repeat-stretches")
+    # Few stretches are sent to the texts; otherwise both are shuffled.
+    few = (spans.agg(F.sum(F.size("stretches") + 1)).first()[0] or 0) <= SENT
+    spans = F.broadcast(spans) if few else spans
     joined = named.join(spans, _same(named, spans), "left").select(
         *[named[c] for c in named.columns if c not in NAME[1:]], spans["stretches"]
     )
@@ -350,7 +365,7 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
             out = []
             for value, stretches in zip(batch.column("body").cast(pa.binary()), batch.column("stretches")):
                 raw, at, left = value.as_py() or b"", 0, []
-                cuts = merged((s["from"], s["to"]) for s in stretches.as_py() or ())
+                cuts = [(s["from"], s["to"]) for s in stretches.as_py() or ()]
                 for lo, hi in cuts:
                     left.append(raw[at:lo])
                     at = hi
