@@ -149,6 +149,38 @@ def test_linked_sets_share_a_key():
             assert len(np.intersect1d(jaccard.routing_keys(a), jaccard.routing_keys(b))), size
 
 
+def test_sets_tied_by_hot_keys_only_meet(spark):
+    """Thousands of sets of one template with more than 96 shingles, and sets of fewer that link with them:
+    all keys they share are hot."""
+    rng = np.random.default_rng(11)
+    draw = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    base = draw(95)
+    for short in (76, 80):
+        sets_ = [np.unique(np.concatenate([base, draw(5)])) for _ in range(2500)]
+        sets_.append(np.sort(rng.permutation(base)[:short]))
+        assert len(sets_[-1]) <= 96 < len(sets_[0]) and any(jaccard._linked(sets_[-1], s) for s in sets_[:-1])
+        rows = [(i, [int(k) for k in jaccard.routing_keys(s).view(np.int64)]) for i, s in enumerate(sets_)]
+        found = {r.node: r.root for r in jaccard.candidates(spark.createDataFrame(rows, "s1 LONG, keys ARRAY<LONG>")).collect()}
+        assert len(found) == 2501 and set(found.values()) == {0}
+
+
+def test_hot_pairs_are_left_out_only_where_others_tie():
+    """Of two linked short sets, the first shares at least (n - 1) // 2 of its pairs, whatever is missing."""
+    rng = random.Random(12)
+    for _ in range(20_000):
+        n = rng.randint(7, 60)
+        gone = rng.randint(0, n // 4)
+        more = rng.randint(0, (n - gone) // 3 - gone) if (n - gone) // 3 >= gone else 0
+        if 4 * (n - gone) < 3 * (n + more):
+            continue
+        x = sorted(rng.sample(range(1, 10_000), n))
+        y = sorted(set(x) - set(rng.sample(x, gone)) | set(rng.sample(range(10_001, 20_000), more)) if rng.random() < 0.5 else
+                   set(x) - set(x[1:2 * gone:2]) | {v + 0.5 for v in rng.sample(x, more)})
+        if 4 * len(set(x) & set(y)) < 3 * len(set(x) | set(y)):
+            continue
+        assert len(set(zip(x, x[1:])) & set(zip(y, y[1:]))) >= (n - 1) // 2
+
+
 def test_signature_tree_finds_all_links():
     rng = np.random.default_rng(2)
     sets = []
