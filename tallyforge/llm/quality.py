@@ -100,7 +100,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 @dataclass(frozen=True)
 class Rule:
     """Votes bad where ``bad`` holds, good where ``good`` holds, and abstains in between. ``precision`` is
-    the least share of its bad votes that is taken to be right; the fit may raise it."""
+    the share of its bad votes that the fit takes to be right at its start."""
 
     name: str
     good: str
@@ -149,49 +149,53 @@ class Model:
         return total
 
 
-# Log odds that one good vote can add: it only says that this rule found nothing.
-MOST_GOOD = 0.25
+Patterns = list[tuple[tuple[int, ...], int]]
 
-
-def _bounded(chances: dict[int, tuple[float, float]], rule: Rule, prior: float) -> dict[int, tuple[float, float]]:
-    """What a rule's votes may say at most: a bad vote is right at least as often as the rule's precision,
-    a good vote speaks for good quality by at most MOST_GOOD, and abstaining says nothing."""
-    good, bad = chances[-1]
-    good = min(good, bad * (1 - prior) / prior * (1 - rule.precision) / rule.precision)
-    well, ill = chances[1]
-    ill = min(well, max(ill, well * math.exp(-MOST_GOOD)))
-    return {-1: (good, bad), 0: (1.0, 1.0), 1: (well, ill)}
+# Share of good rows at the start, and how often the start's own verdicts count beside what is seen.
+PRIOR, ANCHOR = 0.8, 2.0
 
 
 def start(rules: tuple[Rule, ...]) -> Model:
-    """Where the fit begins: every rule at its least precision, good votes without weight."""
-    return Model(0.8, tuple(_bounded({-1: (0.1, 0.1), 0: (1.0, 1.0), 1: (0.5, 0.5)}, r, 0.8) for r in rules))
+    """Where the fit begins: a bad vote is right as often as its rule's precision says, good votes and
+    abstentions say nothing."""
+    bad = lambda r: (0.1 * (1 - r.precision) / PRIOR, 0.1 * r.precision / (1 - PRIOR))
+    return Model(PRIOR, tuple({-1: bad(r), 0: (1.0, 1.0), 1: (1.0, 1.0)} for r in rules))
+
+
+def _dealt(patterns: Patterns, model: Model, rules: tuple[Rule, ...]) -> tuple[float, list[dict[int, list[float]]]]:
+    """Rows of the good class, and votes of each rule by class, if ``model`` deals the rows to the classes."""
+    good, seen = 0.0, [{v: [0.0, 0.0] for v in VOTES} for _ in rules]
+    for votes, n in patterns:
+        p = 1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(votes)))))
+        good += n * p
+        for j, v in enumerate(votes):
+            seen[j][v][0] += n * p
+            seen[j][v][1] += n * (1 - p)
+    return good, seen
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], rules: tuple[Rule, ...], rounds: int = 50) -> Model:
+def fit(patterns: Patterns, rules: tuple[Rule, ...], rounds: int = 50) -> Model:
     """Expectation-maximisation over vote patterns with counts: how often each rule votes bad, abstains
     or votes good in either class, and how common the good class is.
 
-    Junk of one kind sets off one rule and passes the others, so agreement alone would call it good; the
-    rules' least precisions keep that from happening and say which class is the good one, and the good class
-    is held to be at least half, so that a row with which no rule finds fault is never rejected. Pseudo-counts
-    of one row in a thousand, at least ten, keep rare votes finite.
+    Junk of one kind sets off one rule and passes the others, so agreement alone would call it good. The
+    rows as the start deals them therefore stay in every round as pseudo-counts (ANCHOR times); beyond that
+    all chances move freely, so good votes of rules that junk seldom passes can outweigh a bad vote, and
+    abstentions can speak for either class. Which class is the good one is settled by a single bound: it
+    is at least half. Pseudo-counts of one row in a thousand, at least ten, keep rare votes finite.
     """
     model, rows = start(rules), sum(n for _, n in patterns)
     extra = max(10.0, rows / 1000)
+    first, anchor = _dealt(patterns, model, rules)
     for _ in range(rounds):
-        good, seen = extra * 0.8, [{v: [extra / 3, extra / 3] for v in VOTES} for _ in rules]
-        for votes, n in patterns:
-            p = 1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(votes)))))
-            good += n * p
-            for j, v in enumerate(votes):
-                seen[j][v][0] += n * p
-                seen[j][v][1] += n * (1 - p)
-        prior = min(0.95, max(0.5, good / (rows + extra)))
+        good, seen = _dealt(patterns, model, rules)
+        prior = min(0.95, max(0.5, (good + ANCHOR * first + extra * PRIOR) / ((1 + ANCHOR) * rows + extra)))
         chances = []
-        for by_vote, rule in zip(seen, rules):
-            sums = [sum(by_vote[v][c] for v in VOTES) for c in (0, 1)]
-            chances.append(_bounded({v: (by_vote[v][0] / sums[0], by_vote[v][1] / sums[1]) for v in VOTES}, rule, prior))
+        for by_vote, held, rule in zip(seen, anchor, rules):
+            few = {-1: (1 - rule.precision, rule.precision), 0: (PRIOR, 1 - PRIOR), 1: (PRIOR, 1 - PRIOR)}
+            total = {v: [by_vote[v][c] + ANCHOR * held[v][c] + extra / 3 * few[v][c] for c in (0, 1)] for v in VOTES}
+            sums = [sum(total[v][c] for v in VOTES) for c in (0, 1)]
+            chances.append({v: (total[v][0] / sums[0], total[v][1] / sums[1]) for v in VOTES})
         model = Model(prior, tuple(chances))
     return model
 

@@ -93,6 +93,22 @@ def test_quality_model_on_planted_votes():
     assert right > 4990
 
 
+def test_good_votes_outweigh_a_false_one():
+    """Junk sets off three rules together; the fourth votes bad at random, on clean rows too."""
+    rng = random.Random(3)
+    rules = tuple(quality.Rule(str(j), "true", "false") for j in range(4))
+    votes, kinds = Counter(), Counter()
+    for _ in range(5000):
+        junk = rng.random() < 0.15
+        row = [-1 if rng.random() < 0.03 else 1]
+        row += [(-1 if rng.random() < 0.9 else 0) if junk else (1 if rng.random() < 0.95 else 0) for _ in range(3)]
+        votes[tuple(row)] += 1
+        kinds[(tuple(row), junk)] += 1
+    model = quality.fit(sorted(votes.items()), rules)
+    assert model.log_odds((-1, 1, 1, 1)) > 0 > model.log_odds((1, -1, -1, -1)) and model.weight(1, 0) < 0
+    assert sum(n for (row, junk), n in kinds.items() if (model.log_odds(row) < 0) == junk) > 4950
+
+
 def test_junk_labels(spark):
     """Held against the labels of a small table: junk goes and good documents that pass the base rule stay."""
     folder = "/root/testdata/sf0.01"
