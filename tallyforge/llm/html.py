@@ -33,13 +33,17 @@ ENDS = {
 }
 HOLDS = frozenset("article aside blockquote body div dl footer form header html main nav ol section table tbody thead ul".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
-# Words in class and id that name what is not the article.
+# Words in class and id that name what is not the article, where they lead a token or follow a place; words of
+# what readers and other pages add; and words that make a token a setting of the page ("no-sidebar", "share-enabled").
 CHROME = frozenset(
     "ad ads advert advertisement adsense sponsored sponsor promo promotion banner nav navbar navigation menu breadcrumb"
     " breadcrumbs sidebar side footer header masthead cookie cookies consent gdpr notice notification alert popup modal"
     " overlay newsletter subscribe signup login share sharing social comment comments commentlist disqus discussion"
     " replies reply respond related recommended recommendations toolbar pagination pager widget copyright disclaimer".split()
 )
+ADDED = frozenset("comment comments commentlist disqus discussion replies reply respond related recommended recommendations".split())
+PLACES = frozenset("site page main top bottom left right primary secondary global".split())
+SETTINGS = frozenset("has have no not with without by on off enabled disabled open closed inside".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
@@ -51,31 +55,77 @@ _WORDS = re.compile(r"[a-z]+|[0-9]+")
 class Node:
     """One element: its place, what its subtree holds and its density."""
 
-    __slots__ = ("name", "parent", "children", "parts", "skip", "chars", "tags", "link_chars", "link_tags", "sum", "density")
+    __slots__ = (
+        "name", "parent", "children", "parts", "skip", "doubt", "prose", "article",
+        "chars", "tags", "link_chars", "link_tags", "sum", "density",
+    )
 
-    def __init__(self, name: str, parent: Node | None, skip: bool):
-        self.name, self.parent, self.skip = name, parent, skip
+    def __init__(self, name: str, parent: Node | None, skip: bool, doubt: str = ""):
+        self.name, self.parent, self.skip, self.doubt = name, parent, skip, doubt
+        self.prose, self.article = 0, False  # text outside links, and whether an article or main is inside
         self.children: list[Node] = []
         self.parts: list[str | Node] = []  # text and elements in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.sum = self.density = 0.0
 
 
-def _is_chrome(name: str, attributes: str) -> bool:
+def _named(value: str) -> str:
+    """The word in a class or id that names something else than the article."""
+    for token in value.split():
+        words = _WORDS.findall(token)
+        if not words or not SETTINGS.isdisjoint(words):
+            continue
+        if words[0] in CHROME:
+            return words[0]
+        if len(words) == 2 and words[0] in PLACES and words[1] in CHROME:
+            return words[1]
+    return ""
+
+
+def _is_chrome(name: str, attributes: str) -> tuple[bool, str]:
+    """Whether an element is no part of an article for sure, and the word that makes it doubtful."""
     if name in NOT_TEXT:
-        return True
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return True, ""
+    if not attributes or name in ("html", "body"):
+        return False, ""
+    doubt = ""
     for m in _ATTRIBUTE.finditer(attributes):
         key = (m[1] or m[5]).lower()
         value = entities.unescape(m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and any(w in CHROME for w in _WORDS.findall(value)):
-            return True
-        if key == "role" and value.strip() in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+        if key in ("class", "id"):
+            doubt = doubt or _named(value)
+        elif name in ("article", "main"):
+            continue
+        elif key == "role" and value.strip() in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
+            return True, ""
+        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return True, ""
+    return False, doubt
+
+
+def _decide(root: Node) -> None:
+    """Settle which doubtful elements are left out: not those that hold the page's article or main, where
+    none stands outside of them, nor those that hold most of the body's text outside links, unless they
+    stand beside an article or main. What readers and other pages add may well be most of a page."""
+    order = _nodes(root)
+    outside, clear, within = False, {id(root): True}, {id(root): False}  # no doubtful element around; an article around
+    for node in order[1:]:
+        within[id(node)] = within[id(node.parent)] or node.parent.name in ("article", "main")
+        clear[id(node)] = clear[id(node.parent)] and (not node.doubt or node.name in ("article", "main"))
+        if node.name in ("article", "main") and not node.skip and node.doubt not in ADDED:
+            node.article = True
+            outside = outside or clear[id(node)]
+    for node in reversed(order):
+        if not node.skip and node.name != "a":
+            node.prose += sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+            if node.parent is not None:
+                node.parent.prose += node.prose
+                node.parent.article = node.parent.article or node.article
+    body = next((n for n in order if n.name == "body"), root)
+    for node in order[1:]:
+        holds = node.name in ("article", "main") or node.article and not outside
+        most = node.doubt not in ADDED and 2 * node.prose > body.prose and (within[id(node)] or not outside)
+        node.skip = node.parent.skip or node.skip or bool(node.doubt) and not (holds or most)
 
 
 def parse(page: str) -> Node:
@@ -107,7 +157,8 @@ def parse(page: str) -> Node:
                 at = node.parent
                 if name == "tr" and at.name == "tr":  # the loop met an open cell of the row first
                     at = at.parent
-        node = Node(name, at, at.skip or _is_chrome(name, m[3]))
+        chrome, doubt = _is_chrome(name, m[3])
+        node = Node(name, at, at.skip or chrome, doubt)
         at.children.append(node)
         at.parts.append(node)
         if name in RAW:
@@ -117,6 +168,7 @@ def parse(page: str) -> Node:
             at = node
     if end < len(page):
         at.parts.append(page[end:])
+    _decide(root)
     return root
 
 

@@ -33,6 +33,25 @@ def test_odd_pages(page, want):
     assert html.main_text(page) == want
 
 
+@pytest.mark.parametrize("names", [
+    "content has-sidebar", "no-sidebar", "layout-with-sidebar", "side-by-side", "with-banner", "post share-enabled", "press-notice",
+    "widget-area-off", "widget", "left-sidebar", "comments-open",
+])
+@pytest.mark.parametrize("inner", ["%s", "<article>%s</article>", "<main>%s</main>"])
+def test_layout_classes_do_not_hide_the_article(names, inner):
+    side = '<div class="sidebar"><p>Short side text.</p></div><div class="site-footer">Imprint</div>'
+    page = f'<html><body><div class="{names}">{inner % STORY}</div>{side}</body></html>'
+    assert html.main_text(page) == WANT
+    assert html.main_text(page.replace(STORY, STORY + '<div class="share-buttons">Tell others</div>')) == WANT
+
+
+def test_long_comments_and_ads_stay_out():
+    assert html.main_text(f"<body><div class='ad'>{'Buy this. ' * 90}</div><article>{STORY}</article></body>") == WANT
+    said = "<article class='comment-body'><p>" + "Readers have a lot to say about it. " * 20 + "</p></article>"
+    for inner in ("<article>%s</article>", "<div>%s</div>"):
+        assert html.main_text(f"<body>{inner % STORY}<div id='comments'>{said * 5}</div></body>") == WANT
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE % STORY, "x", 1), (1, "u", PAGE % STORY, "x", 1), (None, None, None, "x", 1), (3, "v", "<p>" + "ä " * 50_000, "x", 1), (4, "w", "<div>" * 5000 + "deep", "x", 1)]
     pages = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, text STRING, n_chars LONG")
