@@ -21,6 +21,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp"
     " small span strike strong sub sup time tt u var wbr".split()
 )
+# Blocks that belong to the text beside them.
+PLAIN = frozenset("h1 h2 h3 h4 h5 h6 hgroup p blockquote pre ul ol dl table figure".split())
 # An element of the first kind that opens ends open elements of the second kind, up to a container.
 CLOSES_P = frozenset(
     "address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4"
@@ -182,8 +184,45 @@ def _nodes(root: Node) -> list[Node]:
     return out
 
 
+def _flat(order: list[Node]) -> set[int]:
+    """Inline elements (by id) without a block inside."""
+    flat: set[int] = set()
+    for node in reversed(order):
+        if node.name in INLINE and all(c.skip or id(c) in flat for c in node.children):
+            flat.add(id(node))
+    return flat
+
+
+def _runs(node: Node, flat: set[int]) -> Iterator[tuple[Node | None, list[str | Node]]]:
+    """The parts of an element in page order: (block, [block]), or (None, text and inline elements between blocks)."""
+    run: list[str | Node] = []
+    for part in node.parts:
+        if isinstance(part, str) or part.skip or id(part) in flat:
+            run.append(part)
+            continue
+        if run:
+            yield None, run
+        yield part, [part]
+        run = []
+    if run:
+        yield None, run
+
+
+def _held(run: list[str | Node]) -> tuple[int, int, int, int]:
+    """Characters, elements, characters in links and links of a run; line breaks do not count as elements."""
+    chars = tags = link_chars = link_tags = 0
+    for part in run:
+        if isinstance(part, str):
+            chars += len(part.strip())
+        elif not part.skip:
+            chars, tags = chars + part.chars, tags + part.tags + (part.name != "br")
+            link_chars, link_tags = link_chars + part.link_chars, link_tags + part.link_tags
+    return chars, tags, link_chars, link_tags
+
+
 def weigh(root: Node) -> None:
-    """Composite text density of every element, and the sum over its children."""
+    """Composite text density of every element, and the sum over its blocks. Text and inline elements
+    between blocks count like a block of their own, so that a container of bare text can be the core."""
     order = _nodes(root)
     for node in reversed(order):
         if node.skip:
@@ -198,21 +237,30 @@ def weigh(root: Node) -> None:
             up.link_chars, up.link_tags = up.link_chars + node.link_chars, up.link_tags + node.link_tags
     body = next((n for n in order if n.name == "body"), root)
     share = body.link_chars / body.chars if body.chars else 0.0
+
+    def density(chars: int, tags: int, link_chars: int, link_tags: int) -> float:
+        other = max(1, chars - link_chars)
+        base = math.log(chars / other * max(1, link_chars) + share * chars + math.e)
+        tags = max(1, tags)
+        ratio = (chars / max(1, link_chars)) * (tags / max(1, link_tags))
+        return chars / tags * max(0.0, math.log(ratio)) / math.log(max(base, 1.0) + 1.0)
+
     for node in order:
-        if node.skip or not node.chars:
-            continue
-        chars, tags, link_chars, link_tags = node.chars, max(1, node.tags), max(1, node.link_chars), max(1, node.link_tags)
-        other = max(1, chars - node.link_chars)
-        base = math.log(chars / other * node.link_chars + share * chars + math.e)
-        ratio = (chars / link_chars) * (tags / link_tags)
-        node.density = chars / tags * max(0.0, math.log(ratio)) / math.log(max(base, 1.0) + 1.0)
+        if not node.skip and node.chars:
+            node.density = density(node.chars, node.tags, node.link_chars, node.link_tags)
+    flat = _flat(order)
     for node in order:
-        if node.parent is not None and not node.skip:
-            node.parent.sum += node.density
+        if node.skip or id(node) in flat:
+            continue
+        for block, run in _runs(node, flat):
+            if block is not None:
+                node.sum += block.density
+            elif (held := _held(run))[0]:
+                node.sum += density(*held)
 
 
-def _blocks(top: Node, out: list[list[str]]) -> None:
-    """Texts of the subtree, one list a block."""
+def _blocks(top: Node, out: list[list[str]], chosen=lambda node: node.parts) -> None:
+    """Texts of the subtree, one list a block; ``chosen`` picks the parts of an element."""
     stack: list = [top]
     while stack:
         item = stack.pop()
@@ -227,7 +275,7 @@ def _blocks(top: Node, out: list[list[str]]) -> None:
             if block:
                 out.append([])
                 stack.append(None)
-            stack.extend(reversed(item.parts))
+            stack.extend(reversed(chosen(item)))
 
 
 def main_text(page: str | None) -> str:
@@ -235,7 +283,8 @@ def main_text(page: str | None) -> str:
 
     The element whose children's densities sum highest is the core. Where an ``article`` or ``main``
     encloses it, that is the answer; otherwise every subtree that is at least as dense as the thinnest
-    element on the path from the body to the core belongs to it.
+    element on the path from the body to the core belongs to it, and so do text straight in the elements
+    of the path, their ``h1`` and, beside the core, headings and plain blocks that are not mostly links.
     """
     if not page or not page.strip():
         return ""
@@ -262,16 +311,25 @@ def main_text(page: str | None) -> str:
     else:
         least = min(n.density for n in path)
         on_path = set(map(id, path))
-
-        stack = [body]
-        while stack:
-            node = stack.pop()
-            if node is core or id(node) not in on_path:
-                _blocks(node, out)
-                continue
-            stack.extend(reversed([
-                n for n in node.children if not n.skip and (id(n) in on_path or n.chars and n.density >= least)
-            ]))
+        flat = _flat(inside)
+
+        def chosen(node: Node) -> list[str | Node]:
+            if id(node) not in on_path or node is core:
+                return node.parts
+            beside, out = node is core.parent, []
+            for block, run in _runs(node, flat):
+                if block is None:
+                    chars, _, link_chars, _ = _held(run)
+                    keep = 2 * link_chars <= chars
+                else:
+                    simple = block.name == "h1" or beside and (block.name in PLAIN or all(c.skip or id(c) in flat for c in block.children))
+                    keep = id(block) in on_path or block.chars and (
+                        block.density >= least or simple and 2 * block.link_chars <= block.chars
+                    )
+                out += run if keep else []
+            return out
+
+        _blocks(body, out, chosen)
     lines = (" ".join(entities.unescape("".join(b)).split()) for b in out)
     return "\n".join(line for line in lines if line)
 

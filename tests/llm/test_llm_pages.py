@@ -52,6 +52,24 @@ def test_long_comments_and_ads_stay_out():
         assert html.main_text(f"<body>{inner % STORY}<div id='comments'>{said * 5}</div></body>") == WANT
 
 
+def test_bare_text_around_a_denser_block():
+    bare = [f"Part {i} is text straight in the box, " + "with more words " * 8 + "at its end." for i in range(4)]
+    quote = "".join(f"<p>{'A quoted line goes on and on. ' * 13}</p>" for _ in range(2))
+    page = f"<body><div>{bare[0]}<br><br>{bare[1]}<blockquote>{quote}</blockquote>{bare[2]} <b>and bold</b><br><br>{bare[3]}</div></body>"
+    got = html.main_text(page)
+    assert all(b in got for b in bare) and got.count("A quoted line") == 26 and "at its end. and bold" in got
+    assert got.index(bare[1]) < got.index("A quoted") < got.index(bare[2])
+
+
+def test_parts_beside_the_core_stay():
+    core = "".join(f"<p>{'The story goes on and on in words. ' * 12}</p>" for _ in range(4))
+    links = "<ul><li><a href=/a>Other page</a><li><a href=/b>One more page</a></ul>"
+    page = f"<body><a href=/>Start</a><h1>Name</h1>Straight in the body.{links}<div><h2>A title</h2><p>Lead.</p>Own words, <i>short</i>.{links}<div>{core}</div><p>End.</p></div></body>"
+    lines = html.main_text(page).split("\n")
+    assert [x for x in lines if not x.startswith("The story")] == ["Name", "Straight in the body.", "A title", "Lead.", "Own words, short.", "End."]
+    assert len(lines) == 10
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE % STORY, "x", 1), (1, "u", PAGE % STORY, "x", 1), (None, None, None, "x", 1), (3, "v", "<p>" + "ä " * 50_000, "x", 1), (4, "w", "<div>" * 5000 + "deep", "x", 1)]
     pages = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, text STRING, n_chars LONG")
