@@ -311,6 +311,29 @@ def test_licenses(spark):
         assert text.encode()[r.start_byte : r.end_byte].decode() == r.matched and 100 * r.n_found >= 75 * r.n_shingles
 
 
+def test_licenses_are_told_apart(spark):
+    gnu = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    notices = {
+        "GPL-3.0": gnu.format("program", ":", "", ",", "3"), "GPL-2.0": gnu.format("program", ";", "", ";", "2"),
+        "AGPL-3.0": gnu.format("program", ":", "Affero ", ",", "3"), "LGPL-3.0": gnu.format("library", ":", "Lesser ", ",", "3"),
+        "LGPL-2.1": gnu.format("library", ";", "Lesser ", ";", "2.1"), "": gnu.format("program", ";", "", ";", "1"),
+    }
+    full = dict(licenses._full_texts())
+    rows = list(enumerate([*notices.values(), *full.values()]))
+    rows += [(100, (notices["GPL-2.0"] + " ") * 3), (101, notices["GPL-3.0"] + "\n" + notices["AGPL-3.0"])]
+    rows += [(102, full["BSD-2-Clause"] * 2), (103, "Apache: " + full["Apache-2.0"].replace("Derivative Works", "Other Works") + full["MIT"])]
+    got = defaultdict(list)
+    for r in licenses.scan(frame(spark, rows)).collect():
+        got[r.doc_id].append(r)
+    ids = lambda d: {r.license for r in got[d]}
+    assert [ids(i) for i in range(6)] == [{n} if n else set() for n in notices]
+    for i, name in enumerate(full, 6):
+        assert any(r.license == name and 100 * (r.end_byte - r.start_byte) > 75 * len(full[name].encode()) for r in got[i]), name
+    longest = lambda d: max(Counter((r.license, r.notice) for r in got[d]).values())
+    assert longest(100) == 3 and ids(100) == {"GPL-2.0"} and ids(101) == {"GPL-3.0", "AGPL-3.0"}
+    assert ids(102) == {"BSD-2-Clause"} and longest(102) == 2 and ids(103) == {"Apache-2.0", "MIT"}
+
+
 def test_shingle_sets_tell_words_apart():
     texts = ["a b c d e f", "A B  C\td e\nf", "a b", "a b c d e f a b c d e f", "", "ab c d e f"]
     sets = shingles.sets([t.encode() for t in texts])
