@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import bpe, embeddings, html, jaccard, licenses, packing, quality, repeats, sharding, warc
+from tallyforge.llm import (
+    bpe, embeddings, html, jaccard, licenses, packing, phrases, private, quality, repeats, sharding, variants, warc,
+)
 from tallyforge.llm.common import table
 from tallyforge.session import tune
 
@@ -116,3 +118,73 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back."""
     found = warc.archive(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _grams(sizes) -> str:
+    """Phrases of the words w1 to w5 of every place, of all sizes."""
+    words = lambda n: " || ' ' || ".join(f"w{i}" for i in range(1, n + 1))
+    return " UNION ALL ".join(
+        f"SELECT lang, {n} AS size, {words(n)} AS phrase, count(*) AS f FROM runs WHERE w{n} IS NOT NULL GROUP BY lang, {words(n)}"
+        + " HAVING count(*) >= 100" * (n > 1)
+        for n in sizes
+    )
+
+
+_PHRASES = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, id, unnest(w) AS word, generate_subscripts(w, 1) AS i
+    FROM (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces) x
+), runs AS MATERIALIZED (
+    SELECT lang, word AS w1, lead(word, 1) OVER piece AS w2, lead(word, 2) OVER piece AS w3, lead(word, 3) OVER piece AS w4,
+        lead(word, 4) OVER piece AS w5
+    FROM worded WINDOW piece AS (PARTITION BY id ORDER BY i)
+), counts AS MATERIALIZED (
+    {_grams(range(1, 6))}
+), totals AS (
+    SELECT lang, CAST(sum(f) AS HUGEINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), several AS MATERIALIZED (
+    SELECT * FROM counts WHERE size > 1
+), kept AS MATERIALIZED (
+    SELECT * FROM several c WHERE NOT EXISTS (
+        SELECT 1 FROM several d WHERE d.lang = c.lang AND d.size > c.size AND 100 * d.f >= 100 * c.f
+            AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')
+    )
+), cuts AS (
+    SELECT lang, phrase, f AS a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM kept) x
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, h.f AS l, r.f AS r, t.n,
+        CAST((1000::HUGEINT * c.a * t.n) // (CAST(h.f AS HUGEINT) * r.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest
+    JOIN totals t ON t.lang = c.lang
+), lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS turn FROM scored
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE turn = 1
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+    CAST(n AS BIGINT) AS n, score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", _PHRASES)
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language over all documents."""
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op12_pii_bootstrap")
+def op12_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: fixed shapes, and what stands where they usually stand."""
+    return private.find(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent words they are misspellings of."""
+    return variants.group(table(spark, sf_dir, "documents"))
