@@ -1,10 +1,10 @@
-"""Collocations: stripes of next words for every prefix, merged entry by entry, level by level."""
+"""Collocations: stripes of next words for every prefix, merged entry by entry."""
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,9 +17,11 @@ from tallyforge.llm import shingles
 from tallyforge.llm.common import settle
 
 LONGEST, LEAST, BEST = 5, 100, 2000
-# Bits of the filter of frequent phrases (a fixed 16 MB), of one of its blocks, entries that a task holds
-# before it hands its stripes on, slices of a stripe, and salts of the first round of the ranking.
-FILTER, BLOCK, HELD, SLICES, SALTS = 27, 15, 1 << 18, 256, 64
+# Bits of a filter of frequent names (a fixed 16 MB) and of one of its blocks; entries of stripes and names
+# that a task holds before it hands them on; slices of a stripe; salts of the first round of the ranking.
+FILTER, BLOCK, HELD, NAMED, SLICES, SALTS = 27, 15, 1 << 18, 1 << 22, 256, 64
+# Phrases of up to so many words are counted by name first, longer ones are known by their parts.
+COUNTED = 3
 
 # What ends a piece, and what separates words.
 _ENDS = np.zeros(256, bool)
@@ -53,8 +55,9 @@ def _words(texts: list[bytes], langs: list[str]):
     hashes = shingles.mix(shingles.mix((sums[ends] - sums[starts]) * down[starts]) + salts[place])
     # A piece is a run of words with no end between them; words of two texts have the line break between.
     piece = np.cumsum(_ENDS[buffer])[starts]
-    last = np.searchsorted(piece, piece, side="right") - 1
-    return buffer, starts, ends, hashes, place, last - np.arange(len(starts))
+    last = np.append(np.flatnonzero(piece[1:] != piece[:-1]), len(piece) - 1) if len(piece) else piece
+    after = np.repeat(last, np.diff(last, prepend=-1)) - np.arange(len(piece))
+    return buffer, starts, ends, hashes, place, after
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
@@ -81,18 +84,31 @@ def _names(hashes: np.ndarray, size: int) -> np.ndarray:
     return hashes if size == 1 else shingles.windows(hashes, size)
 
 
-def stripes(batches: Iterator[pa.RecordBatch], size: int, frequent: Broadcast | None) -> Iterator[pa.RecordBatch]:
-    """Stripes of the phrases of ``size`` words: for each prefix an associative counter of next words, merged
-    in the task and cut into slices by the next word. With ``frequent``, only of phrases whose first and
-    last ``size - 1`` words may be frequent. Rows are told apart by their words, names only find equal ones
-    among the words read at once."""
+def _passed(names: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = names >> np.uint64(64 - FILTER)
+    return bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+
+def _possible(hashes: np.ndarray, after: np.ndarray, size: int, filters: list[np.ndarray]) -> np.ndarray:
+    """Which runs of ``size`` words lie in one piece and hold no part that is known to be rare: ``filters`` are
+    those of 1, 2, ... words, and the longest parts they know are looked up."""
+    n = len(hashes) - size + 1
+    out = after[: max(0, n)] >= size - 1
+    part = min(size, len(filters))
+    if part and n > 0:
+        good = _passed(_names(hashes, part), filters[part - 1])
+        for k in range(size - part + 1):
+            out &= good[k : k + n]
+    return out
+
+
+def stripes(batches: Iterator[pa.RecordBatch], sizes: Iterable[int], filters: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Stripes of the phrases of ``sizes`` words that may be frequent: for each prefix an associative counter
+    of next words, merged in the task and cut into slices by the next word. Entries are told apart by their
+    words; names only find equal ones among the words read at once."""
     held: dict[tuple[str, bytes], dict[bytes, int]] = {}
     entries = 0
 
-    def passed(names: np.ndarray) -> np.ndarray:
-        at = names >> np.uint64(64 - FILTER)
-        return frequent.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
-
     def flush() -> pa.RecordBatch:
         rows: list[tuple[str, bytes, int, list, list]] = []
         for (lang, prefix), stripe in held.items():
@@ -109,27 +125,22 @@ def stripes(batches: Iterator[pa.RecordBatch], size: int, frequent: Broadcast |
     for batch in batches:
         for texts, own in _portions(batch):
             buffer, starts, ends, hashes, place, after = _words(texts, own)
-            if len(starts) < size:
-                continue
-            names = _names(hashes, size)
-            keep = after[: len(names)] >= size - 1
-            if frequent is not None:
-                good = passed(_names(hashes, size - 1))
-                keep &= good[: len(names)] & good[1 : len(names) + 1]
-            keep = np.flatnonzero(keep)
-            _, first, counts = np.unique(names[keep], return_index=True, return_counts=True)
-            raw = buffer.tobytes()
-            lo, hi = starts.tolist(), ends.tolist()
-            first = keep[first]
-            for i, n, t in zip(first.tolist(), counts.tolist(), place[first].tolist()):
-                prefix = b" ".join([raw[lo[k] : hi[k]] for k in range(i, i + size - 1)])
-                word = raw[lo[i + size - 1] : hi[i + size - 1]]
-                stripe = held.setdefault((own[t], prefix), {})
-                if word in stripe:
-                    stripe[word] += n
-                else:
-                    stripe[word] = n
-                    entries += 1
+            raw, lo, hi = buffer.tobytes(), starts.tolist(), ends.tolist()
+            for size in sizes:
+                keep = np.flatnonzero(_possible(hashes, after, size, filters))
+                if not len(keep):
+                    continue
+                _, first, counts = np.unique(_names(hashes, size)[keep], return_index=True, return_counts=True)
+                first = keep[first]
+                for i, n, t in zip(first.tolist(), counts.tolist(), place[first].tolist()):
+                    prefix = b" ".join([raw[lo[k] : hi[k]] for k in range(i, i + size - 1)])
+                    word = raw[lo[i + size - 1] : hi[i + size - 1]]
+                    stripe = held.setdefault((own[t], prefix), {})
+                    if word in stripe:
+                        stripe[word] += n
+                    else:
+                        stripe[word] = n
+                        entries += 1
             if entries >= HELD:
                 yield flush()
                 held.clear()
@@ -138,14 +149,14 @@ def stripes(batches: Iterator[pa.RecordBatch], size: int, frequent: Broadcast |
         yield flush()
 
 
-def _level(texts: DataFrame, size: int, frequent: Broadcast | None) -> DataFrame:
-    """Merged stripes of phrases of ``size`` words: lang, prefix, word, f.
+def _merged(texts: DataFrame, sizes: list[int], filters: list[Broadcast]) -> DataFrame:
+    """Merged stripes of phrases of ``sizes`` words: lang, prefix, word, f.
 
     Slices of a stripe meet by language, prefix and slice, and are added up entry by entry, so the stripe
     of a hot prefix is spread and no stripe is ever one row.
     """
     kind = "lang string, prefix binary, slice int, next array<binary>, counts array<long>"
-    sliced = texts.mapInArrow(lambda batches: stripes(batches, size, frequent), kind)
+    sliced = texts.mapInArrow(lambda batches: stripes(batches, sizes, [f.value for f in filters]), kind)
     entry = F.explode(F.arrays_zip("next", "counts"))
     return (
         sliced.repartition("lang", "prefix", "slice")
@@ -155,19 +166,58 @@ def _level(texts: DataFrame, size: int, frequent: Broadcast | None) -> DataFrame
     )
 
 
-def _filter(rows: DataFrame, size: int) -> np.ndarray:
-    """A bit for every name of the phrases in ``rows`` (lang, phrase): 16 MB, whatever their number. Phrases
-    that share a bit with a frequent one are counted in vain, none is missed."""
+def _named(texts: DataFrame, size: int, filters: list[Broadcast], least: int) -> DataFrame:
+    """Names of ``size`` words that are counted ``least`` times or more: at. Phrases that share a name are
+    counted together, so all frequent ones are among them."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [f.value for f in filters]
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            names, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            return names, np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
+
+        def out() -> pa.RecordBatch:
+            names, counts = merged()
+            return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(counts)], names=["name", "n"])
+
+        for batch in batches:
+            for texts_, own in _portions(batch):
+                _, _, _, hashes, _, after = _words(texts_, own)
+                keep = _possible(hashes, after, size, known)
+                parts.append(np.unique(_names(hashes, size)[: len(keep)][keep], return_counts=True))
+                held += len(parts[-1][0])
+                if held >= NAMED:
+                    parts = [merged()]
+                    held = len(parts[0][0])
+                    if held >= NAMED // 2:
+                        yield out()
+                        parts, held = [], 0
+        if parts:
+            yield out()
+
+    counts = texts.mapInArrow(counted, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") >= least).select(F.shiftrightunsigned("name", 64 - FILTER).alias("at"))
+
+
+def _words_named(frequent: DataFrame) -> DataFrame:
+    """The names of frequent words (lang, word): at."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), [p.encode() for p in batch.column("phrase").to_pylist()]
-            if not texts:
-                continue
-            _, _, _, hashes, _, _ = _words(texts, langs)
-            # Each phrase has exactly ``size`` words.
-            at = _names(hashes, size)[::size] >> np.uint64(64 - FILTER)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(at).astype(np.int64))], names=["at"])
+            if batch.num_rows:
+                texts = [w.encode() for w in batch.column("word").to_pylist()]
+                at = _words(texts, batch.column("lang").to_pylist())[3] >> np.uint64(64 - FILTER)
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(at).astype(np.int64))], names=["at"])
+
+    return frequent.select("lang", "word").mapInArrow(places, "at long")
+
+
+def _filter(places: DataFrame) -> Broadcast:
+    """A bit for every place (``at``): 16 MB, whatever their number. The fuller it is the less it rules out,
+    but nothing frequent is ever ruled out."""
 
     def block(group: pa.Table) -> pa.Table:
         bits = np.zeros(1 << BLOCK - 3, np.uint8)
@@ -176,16 +226,12 @@ def _filter(rows: DataFrame, size: int) -> np.ndarray:
         np.bitwise_or.at(bits, inner >> 3, (1 << (inner & 7)).astype(np.uint8))
         return pa.table({"block": [int(at[0]) >> BLOCK], "bits": pa.array([bits.tobytes()], pa.binary())})
 
-    found = rows.mapInArrow(places, "at long").distinct().withColumn("block", F.shiftright("at", BLOCK))
+    found = places.distinct().withColumn("block", F.shiftright("at", BLOCK))
     out = np.zeros(1 << FILTER - 3, np.uint8)
     for row in found.groupBy("block").applyInArrow(block, "block long, bits binary").collect():
         begin = row["block"] << BLOCK - 3
         out[begin : begin + (1 << BLOCK - 3)] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _phrase() -> F.Column:
-    return F.when(F.col("prefix") == "", F.col("word")).otherwise(F.concat_ws(" ", "prefix", "word"))
+    return places.sparkSession.sparkContext.broadcast(out)
 
 
 def mine(
@@ -202,9 +248,11 @@ def mine(
 
     One structure answers all of it: the stripes, one for each prefix, count next words. Their entries are
     the phrases' counts (extensions), the entries of the level below are the totals of prefixes and rests,
-    and the greatest entry of a stripe, or of the stripes that end alike, is the subsumption maximum. Level by
-    level only phrases whose two shorter parts are frequent are counted, known by a filter of fixed size that
-    lets all frequent ones pass; counts and comparisons are over the words themselves and all texts.
+    and the greatest entry of a stripe, or of the stripes that end alike, is the subsumption maximum. Only
+    phrases that may be frequent get an entry: words first, then names (64-bit hashes) of two and of three
+    words are counted, each over what the one before lets pass, and filters of a fixed size keep what is
+    frequent; longer phrases need all their parts of three words. Counts and comparisons are over the words
+    themselves and all texts.
 
     A null text is empty and a null language ``und``; repeated rows count each; an empty table gives an empty
     result; equal scores and counts are ranked by the phrase's bytes; other columns are left out, whatever
@@ -212,22 +260,21 @@ def mine(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body")).where("body IS NOT NULL AND body <> ''")
-    single = settle(_level(texts, 1, None), "phrases-1")
+    if longest < 2:
+        raise ValueError("longest must be 2 or more")
+    single = settle(_merged(texts, [1], []), "phrases-words")
     totals = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent, all_ = single.where(F.col("f") >= least), None
-    counts = frequent.select("lang", F.col("word").alias("phrase"), "f")
-    for size in range(2, longest + 1):
-        sent = spark.sparkContext.broadcast(_filter(frequent.select("lang", _phrase().alias("phrase")), size - 1))
-        # Only frequent entries are written; the filter is part of the plan, so the level is settled here.
-        frequent = settle(_level(texts, size, sent).where(F.col("f") >= least).withColumn("size", F.lit(size)), f"phrases-{size}")
+    frequent = single.where(F.col("f") >= least)
+    filters = [_filter(_words_named(frequent))]
+    for size in range(2, min(COUNTED, longest) + 1):
+        filters.append(_filter(_named(texts, size, filters, least)))
+    several = _merged(texts, list(range(2, longest + 1)), filters).where(F.col("f") >= least)
+    # Words hold no blank, so blanks tell the length. The filters are part of the plan: it is settled here.
+    size = F.char_length("prefix") - F.char_length(F.replace("prefix", F.lit(" "), F.lit(""))) + 2
+    candidates = settle(several.withColumns({"size": size, "phrase": F.concat_ws(" ", "prefix", "word")}), "phrases-several")
+    for sent in filters:
         sent.unpersist()
-        all_ = frequent if all_ is None else all_.unionByName(frequent)
-        if frequent.isEmpty():
-            break
-    if all_ is None:
-        raise ValueError("longest must be 2 or more")
-    candidates = all_.withColumn("phrase", _phrase())
-    counts = counts.unionByName(candidates.select("lang", "phrase", "f"))
+    counts = frequent.select("lang", F.col("word").alias("phrase"), "f").unionByName(candidates.select("lang", "phrase", "f"))
 
     # Subsumption: the greatest extension of a phrase to the right is in its own stripe, the greatest to
     # the left among the stripes whose prefixes end in it.

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,13 +89,23 @@ def test_long_texts_are_cut_at_ends_of_pieces(spark, monkeypatch):
     text = "one two three four, " * 40
     batch = frame(spark, [(1, text, "en")]).select("lang", F.col("text").alias("body")).toArrow().to_batches()
     found = Counter()
-    for out in phrases.stripes(iter(batch), 3, None):
+    for out in phrases.stripes(iter(batch), [3], []):
         for r in out.to_pylist():
             for w, n in zip(r["next"], r["counts"]):
                 found[r["prefix"] + b" " + w] += n
     assert found == {b"one two three": 40, b"two three four": 40}
 
 
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    rows = [(" ".join(f"w{(i * k) % 97}" for i in range(400)), "en") for k in range(1, 12)]
+    docs = frame(spark, [(1, t, lang) for t, lang in rows])
+    want = plain_phrases(rows, 3)
+    assert sorted(map(tuple, phrases.mine(docs, least=3).collect())) == want and want
+    # A filter that is full rules nothing out, and the counts stay the same.
+    monkeypatch.setattr(phrases, "_filter", lambda places: spark.sparkContext.broadcast(np.full(1 << phrases.FILTER - 3, 255, np.uint8)))
+    assert sorted(map(tuple, phrases.mine(docs, least=3).collect())) == want
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     big = 3 * 10**12
     row = spark.createDataFrame([(big, big + 1, big + 2, 10**13)], "a long, l long, r long, n long")
