@@ -41,6 +41,8 @@ FROM tokens i JOIN vocabulary t ON t.id = i.tok GROUP BY word ORDER BY word
 """
 # Words a query works on at once, words a task remembers, characters split at once.
 WORDS, REMEMBERED, PIECE = 20_000, 500_000, 1 << 20
+# Bytes of a word that the query takes as a whole, and rows it may make: a word of L bytes makes up to L * L / 2.
+LONG, ROWS = 256, 3_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,6 +67,11 @@ class Codec:
             for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
         ]
         left, right, rank = zip(*merges) if merges else ((), (), ())
+        pairs = np.array(left, np.int64) << 32 | np.array(right, np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], np.array(rank, np.int64)[order]
+        self.starts = {t[:i] for t in ranks for i in range(2, len(t))}
+        self.big: list[str] = []
         int_ = lambda values: pa.array(values, pa.int32())
         self._load("merges", {"left_tok": int_(left), "right_tok": int_(right), "rank": int_(rank)})
         self._load("vocabulary", {"id": int_(list(ranks.values())), "bytes": pa.array([t.hex() for t in ranks])})
@@ -82,11 +89,15 @@ class Codec:
             # A word that is a token is that token, whatever its merges would give.
             found = [[self.ranks[b]] if b in self.ranks else None for b in raw]
             open_ = [k for k, ids in enumerate(found) if ids is None]
-            if open_:
-                word, pos, buffer = _positions([raw[k] for k in open_])
-                self._load("letters", {"word": word, "pos": pos, "tok": self.letters[buffer]})
-                for k, (_, ids) in zip(open_, self.con.execute(ENCODE).fetchall(), strict=True):
-                    found[k] = ids
+            # What no token spans is never merged: long words fall apart there.
+            cut = {k: self.cuts(raw[k]) for k in open_ if len(raw[k]) > LONG}
+            pieces = list(dict.fromkeys(b for k in open_ for b in cut.get(k, (raw[k],))))
+            coded = self.merged([b for b in pieces if len(b) <= LONG])
+            coded |= {b: self.merged_long(b) for b in pieces if len(b) > LONG}
+            for k in open_:
+                parts = cut.get(k, (raw[k],))
+                found[k] = coded[parts[0]] if len(parts) == 1 else np.concatenate([coded[b] for b in parts])
+            self.big += [w for k, w in enumerate(part) if len(raw[k]) > LONG]
             packed = [np.asarray(ids, "<u4").tobytes() for ids in found]
             self.ids.update(zip(part, packed))
             new = [p for p in dict.fromkeys(packed) if p not in self.texts]
@@ -97,9 +108,75 @@ class Codec:
                 self._load("tokens", {"word": word, "pos": pos, "tok": np.frombuffer(b"".join(new), "<u4").astype(np.int32)})
                 self.texts.update(zip(new, (bytes.fromhex(h) for _, h in self.con.execute(DECODE).fetchall()), strict=True))
 
+    def merged(self, raw: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of words of up to LONG bytes by the recursive query, so many at once that its rows are bounded."""
+        out: dict[bytes, list[int]] = {}
+        group: list[bytes] = []
+        rows = 0
+        for b in [*raw, None]:
+            if group and (b is None or rows + len(b) ** 2 // 2 > ROWS):
+                word, pos, buffer = _positions(group)
+                self._load("letters", {"word": word, "pos": pos, "tok": self.letters[buffer]})
+                out.update((w, ids) for w, (_, ids) in zip(group, self.con.execute(ENCODE).fetchall(), strict=True))
+                group, rows = [], 0
+            if b is not None:
+                group.append(b)
+                rows += len(b) ** 2 // 2
+        return out
+
+    def cuts(self, raw: bytes) -> list[bytes]:
+        """``raw`` cut at all places that no token of the vocabulary spans where it stands."""
+        out, first, reach = [], 0, 0
+        for i in range(len(raw)):
+            if i and reach <= i:
+                out.append(raw[first:i])
+                first = i
+            j = i + 2
+            while j <= len(raw):
+                part = raw[i:j]
+                if part in self.ranks:
+                    reach = max(reach, j)
+                if part not in self.starts:
+                    break
+                j += 1
+        return [*out, raw[first:]]
+
+    def _rank(self, tokens: np.ndarray) -> np.ndarray:
+        """Ranks of all neighbours; pairs that do not merge have the greatest number."""
+        pairs = tokens[:-1] << 32 | tokens[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], np.iinfo(np.int64).max)
+
+    def merged_long(self, raw: bytes) -> np.ndarray:
+        """Ids of a long word that nothing cuts, in steps of one rank: the pairs of the least rank are contracted
+        from the left, up to and with the first whose result makes a pair of a lesser rank with a neighbour."""
+        tokens = self.letters[np.frombuffer(raw, np.uint8)].astype(np.int64)
+        while len(tokens) > 1:
+            ranks = self._rank(tokens)
+            least = ranks.min()
+            if least == np.iinfo(np.int64).max:
+                break
+            hits = np.flatnonzero(ranks == least)
+            # Of hits that overlap in a row, every other one.
+            begin = np.append(True, hits[1:] != hits[:-1] + 1)
+            hits = hits[(np.arange(len(hits)) - np.maximum.accumulate(np.where(begin, np.arange(len(hits)), 0))) % 2 == 0]
+            beside = np.append(False, hits[1:] == hits[:-1] + 2)
+            left = np.where(beside, least, tokens[hits - 1])
+            right = tokens[np.minimum(hits + 2, len(tokens) - 1)]
+            lower = (hits > 0) & (self._rank(np.stack((left, np.full_like(left, least)), 1).ravel())[::2] < least)
+            lower |= (hits + 2 < len(tokens)) & (self._rank(np.stack((np.full_like(right, least), right), 1).ravel())[::2] < least)
+            if lower.any():
+                hits = hits[: int(lower.argmax()) + 1]
+            tokens[hits] = least
+            tokens = np.delete(tokens, hits + 1)
+        return tokens
+
     def prepare(self, words: Iterable[str]) -> None:
         """Have the ids of ``words`` at hand. What was not asked for since the memory was last full goes
-        when it is full again."""
+        when it is full again; long words go at once."""
+        for w in self.big:
+            self.texts.pop(self.ids.pop(w, None), None)
+        self.big = []
         need = []
         for w in dict.fromkeys(words):
             if w not in self.ids:

@@ -358,3 +358,42 @@ def test_bpe_round_trip(spark, corpus, tmp_path, monkeypatch):
         pieces = text.split(" ")
         codec.prepare(pieces)
         assert codec.decode(codec.encode(pieces)) == [p.encode() for p in pieces]
+
+
+def test_bpe_of_long_words(spark):
+    import public_tokenizers as tokenizers
+    import tiktoken
+
+    path = str(tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ranks = bpe.read_ranks(path)
+    plain = tiktoken.Encoding("plain", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    random = np.random.default_rng(7)
+    letters = lambda n, of: "".join(random.choice(list(of), n))
+    rows = [
+        letters(10_000, "abcdefghijklmnopqrstuvwxyz"), letters(20_000, "ACGT"), "a" * 5_000, "ab" * 3_000, "-" * 3_001, "=" * 257, " " * 4_000,
+        letters(3_000, "的一是不了在人有我他这中大来上"), letters(8_000, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        letters(5_000, "etaoin"), letters(257, "the"), letters(2_000, "สวัสดีครับ"), "the" * 400, letters(9_000, "01"),
+    ]
+    got = bpe.tokenize(frame(spark, list(enumerate(rows))), path, tokenizers.PATTERN, ids=True).collect()
+    assert all(r.ids == plain.encode_ordinary(rows[r.doc_id]) for r in got) and len(got) == len(rows)
+    # Every way of merging gives the same: the query, steps of one rank, and pieces between cuts.
+    codec = bpe.Codec(ranks)
+    for n in (2, 5, 60, 200):
+        for of in ("ab", "etaoin s", "的一是", "ACGT", "ing the"):
+            word = letters(n, of).encode()
+            want = codec.merged([word])[word]
+            assert codec.merged_long(word).tolist() == want
+            assert [i for p in codec.cuts(word) for i in codec.merged_long(p).tolist()] == want
+
+
+def test_bpe_of_a_run_of_a_megabyte():
+    import public_tokenizers as tokenizers
+
+    codec = bpe.Codec(bpe.read_ranks(str(tokenizers.path("byte_bpe_multi_50k.tiktoken"))))
+    random = np.random.default_rng(8)
+    for of in ("abcdefghijklmnopqrstuvwxyz", "a", "的一是不了在人有我他"):
+        word = "".join(random.choice(list(of), (1 << 20) // len(of[0].encode())))
+        codec.prepare([word])
+        assert codec.decode(codec.encode([word])) == [word.encode()]
+        codec.prepare(["a"])
+        assert word not in codec.ids
