@@ -25,8 +25,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long strings that occur more than once are cut out; the character count follows."""
-    left = repeats.remove(docs, own=True)
+    """Passages of about 50 words or more that occur more than once are cut out; the character count follows."""
+    left = repeats.remove(docs, own=True, length=repeats.PASSAGE)
     return left.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in left.columns else left
 
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tallyforge.llm import shingles
 from tallyforge.llm.common import settle, slices
 
-# Length of a repeat, and of the strings that say where equal windows meet.
-LENGTH, GRAM = 400, 128
+# Bytes of a repeat, and of the shorter one that a passage of 50 words reaches (four letters and a blank
+# each). The strings that say where equal windows meet have GRAM hundredths of that.
+LENGTH, PASSAGE, GRAM = 400, 250, 32
 # Bytes an index holds; sections of one anchor beyond which they are compared by counting instead.
 INDEX_BYTES, HOT = 1 << 19, 1000
 # Rows and stretches (a few dozen bytes each) that may be broadcast.
@@ -37,20 +38,20 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(texts: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each text of LENGTH bytes or more: (index, keys, first windows, last windows).
+def anchors(texts: list[bytes], length: int = LENGTH) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each text of ``length`` bytes or more: (index, keys, first windows, last windows).
 
-    Every window of LENGTH bytes is named after the least hash among its GRAM-byte strings, the leftmost
-    of equals. That depends on the window's bytes alone, so equal windows have equal keys wherever they
+    Every window of ``length`` bytes is named after the least hash among its strings of GRAM hundredths of
+    that, the leftmost of equals. That depends on the window's bytes alone, so equal windows have equal keys wherever they
     are. Consecutive windows mostly share a string; each run of them is one entry.
     """
     out = []
-    long_ = [(i, t) for i, t in enumerate(texts) if len(t) >= LENGTH]
+    long_ = [(i, t) for i, t in enumerate(texts) if len(t) >= length]
     group: list[tuple[int, bytes]] = []
     size = 0
     for item in [*long_, None]:
         if group and (item is None or size + len(item[1]) >= 1 << PLACE):
-            out += _anchors_of(group)
+            out += _anchors_of(group, length)
             group, size = [], 0
         if item is not None:
             group.append(item)
@@ -58,25 +59,26 @@ def anchors(texts: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray, np.nd
     return out
 
 
-def _anchors_of(group: list[tuple[int, bytes]]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def _anchors_of(group: list[tuple[int, bytes]], length: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     buffer = np.frombuffer(b"".join(t for _, t in group), np.uint8)
     ends = np.cumsum([len(t) for _, t in group])
-    width = LENGTH - GRAM + 1
+    gram = length * GRAM // 100
+    width = length - gram + 1
     first, last, keys = [], [], []
     # A text longer than a stretch is taken in stretches that overlap by a window.
-    step = (1 << PLACE) - LENGTH
-    for at in range(0, len(buffer) - LENGTH + 1, step):
-        part = buffer[at : at + step + LENGTH - 1]
+    step = (1 << PLACE) - length
+    for at in range(0, len(buffer) - length + 1, step):
+        part = buffer[at : at + step + length - 1]
         up, down = shingles._scale(len(part))
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(shingles._LETTER[part] * up[: len(part)], dtype=np.uint64, out=sums[1:])
-        n = len(part) - GRAM + 1
-        hashes = shingles.mix((sums[GRAM:] - sums[:n]) * down[:n])
+        n = len(part) - gram + 1
+        hashes = shingles.mix((sums[gram:] - sums[:n]) * down[:n])
         mask = np.uint64((1 << PLACE) - 1)
         least = _sliding_least((hashes & ~mask) | np.arange(n, dtype=np.uint64), width)
         anchor = (least & mask).astype(np.int64)
         start = np.arange(len(anchor)) + at
-        inside = start + LENGTH <= ends[np.searchsorted(ends, start, side="right")]
+        inside = start + length <= ends[np.searchsorted(ends, start, side="right")]
         label = np.where(inside, anchor, -1)
         change = np.flatnonzero(np.diff(label)) + 1
         a, b = np.concatenate(([0], change)), np.concatenate((change, [len(label)])) - 1
@@ -128,8 +130,8 @@ def _common(symbols: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> np.
     return out
 
 
-def repeated_starts(pieces: list[bytes]) -> list[np.ndarray]:
-    """For each piece the starts of LENGTH-byte strings that also start elsewhere in ``pieces``.
+def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+    """For each piece the starts of ``length``-byte strings that also start elsewhere in ``pieces``.
 
     The Burrows-Wheeler transform of all pieces is cut into runs. Only the suffixes at run heads and run
     ends are sampled, with the length they share with the suffix before or after them; along the text
@@ -163,7 +165,7 @@ def repeated_starts(pieces: list[bytes]) -> list[np.ndarray]:
     with_before = stream(np.append(order[breaks], order[0]), np.append(shared, 0))
     with_after = stream(np.append(order[breaks - 1], order[-1]), np.append(shared, 0))
     to_end = np.repeat(ends, sizes + 1) - np.arange(n)
-    hit = (np.maximum(with_before, with_after) >= LENGTH) & (to_end >= LENGTH)
+    hit = (np.maximum(with_before, with_after) >= length) & (to_end >= length)
     return [np.flatnonzero(hit[s : s + k]) for s, k in zip(starts.tolist(), sizes.tolist())]
 
 
@@ -192,8 +194,8 @@ def _same(x: DataFrame, y: DataFrame):
     return out
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """Stretches to remove of ``docs`` (doc_id, body, t1, t2, t3): the names of rows with lists of (from,
+def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Stretches that repeated strings of ``length`` bytes cover of ``docs`` (doc_id, body, t1, t2, t3): the names of rows with lists of (from,
     to), in order and apart, only for rows that have any."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     name_fields = f"doc_id {kind}, t1 long, t2 long, t3 long"
@@ -202,19 +204,19 @@ def find(docs: DataFrame) -> DataFrame:
         for batch in batches:
             at = 0
             for texts in shingles.portions(batch.column("body")):
-                found = anchors(texts)
+                found = anchors(texts, length)
                 if found:
                     rows = np.concatenate([np.full(len(k), i) for i, k, _, _ in found]) + at
                     lo, hi = (np.concatenate([f[c] for f in found]) for c in (2, 3))
                     whole = [
-                        xxhash.xxh3_64_intdigest(texts[i][a : b + LENGTH])
+                        xxhash.xxh3_64_intdigest(texts[i][a : b + length])
                         for i, _, first, last in found for a, b in zip(first.tolist(), last.tolist())
                     ]
                     part = batch.select(NAME).take(pa.array(rows))
                     keys = np.concatenate([k for _, k, _, _ in found]).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [*(part.column(c) for c in NAME), pa.array(keys), pa.array(np.array(whole, np.uint64).view(np.int64)),
-                         pa.array(lo, pa.int64()), pa.array(hi + LENGTH, pa.int64())],
+                         pa.array(lo, pa.int64()), pa.array(hi + length, pa.int64())],
                         names=[*NAME, "key", "whole", "lo", "hi"],
                     )
                 at += len(texts)
@@ -272,10 +274,10 @@ def find(docs: DataFrame) -> DataFrame:
         keys = list(zip(*(group.column(c).to_pylist() for c in (*NAME, "lo"))))
         first = list({k: i for i, k in reversed(list(enumerate(keys)))}.values())
         group = group.take(pa.array(sorted(first)))
-        found = repeated_starts(group.column("piece").to_pylist())
+        found = repeated_starts(group.column("piece").to_pylist(), length)
         row, lo, hi = [], [], []
         for i, (s, starts) in enumerate(zip(group.column("lo").to_pylist(), found)):
-            for a, b in runs(starts):
+            for a, b in runs(starts, length):
                 row.append(i), lo.append(s + a), hi.append(s + b)
         part = group.select(NAME).take(pa.array(row, pa.int64()))
         return pa.Table.from_arrays(
@@ -288,7 +290,7 @@ def find(docs: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, (lo, piece) in enumerate(zip(batch.column("lo").to_pylist(), batch.column("piece").to_pylist())):
-                names = [xxhash.xxh3_128_digest(piece[k : k + LENGTH]) for k in range(len(piece) - LENGTH + 1)]
+                names = [xxhash.xxh3_128_digest(piece[k : k + length]) for k in range(len(piece) - length + 1)]
                 part = batch.select(NAME).take(pa.array([row] * len(names)))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in NAME), pa.array(range(lo, lo + len(names)), pa.int64()), pa.array(names, pa.binary())],
@@ -297,7 +299,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     windows = settle(pieces.where("place < 0").distinct().mapInArrow(each, f"{name_fields}, at long, window binary"), "repeat-windows")
     twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    counted = windows.join(twice, "window", "left_semi").select(*NAME, F.col("at").alias("from"), (F.col("at") + LENGTH).alias("to"))
+    counted = windows.join(twice, "window", "left_semi").select(*NAME, F.col("at").alias("from"), (F.col("at") + length).alias("to"))
     gathered = (
         full.unionByName(indexed).unionByName(counted).distinct()
         .groupBy(*NAME).agg(F.collect_list(F.struct("from", "to")).alias("stretches"))
@@ -326,8 +328,17 @@ def merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", text: bool = False, own: bool = False) -> DataFrame:
-    """Cut every byte that a LENGTH-byte string covers which also starts elsewhere in the table.
+def _sent(spans: DataFrame) -> DataFrame:
+    """``spans`` for a join with the texts: few are sent to them, otherwise both are shuffled."""
+    few = (spans.agg(F.sum(F.size("stretches") + 1)).first()[0] or 0) <= SENT
+    return F.broadcast(spans) if few else spans
+
+
+def remove(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", text: bool = False, own: bool = False, length: int = LENGTH,
+    passage: int | None = None,
+) -> DataFrame:
+    """Cut every byte that a string of ``length`` bytes covers which also starts elsewhere in the table.
 
     Equal strings share an anchor (``anchors``), so the corpus is compared in parts that fit a task: keys
     that occur once are dropped, sections that occur twice as a whole are done, and the different
@@ -335,7 +346,10 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     not indexed; their windows are counted one by one. Strings are judged on the input.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with ``text`` what is left; with
-    ``own`` the columns of ``docs`` instead, the text column holding what is left. What a cut leaves of a
+    ``own`` the columns of ``docs`` instead, the text column holding what is left. With ``passage``, a length
+    below ``length``, also passage_bytes and passage_spans: what strings of that length would remove. Strings
+    of ``length`` are then sought only in texts with a stretch of the shorter ones that is as long, since all
+    repeats of the longer lie in such stretches. What a cut leaves of a
     character that it splits is dropped from that text (the digest is over all bytes left).
 
     A null text is empty and stays null in ``own``; repeated rows and texts with other or null ids are
@@ -349,21 +363,28 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     else:
         packed = docs.select(F.col(id_col).alias("doc_id"), body.alias("body"))
     named = _keyed(packed)
-    spans = settle(find(named.select(*NAME, "body")), "repeat-stretches")
-    # Few stretches are sent to the texts; otherwise both are shuffled.
-    few = (spans.agg(F.sum(F.size("stretches") + 1)).first()[0] or 0) <= SENT
-    spans = F.broadcast(spans) if few else spans
+    bodies = named.select(*NAME, "body")
+    if passage is None:
+        spans = settle(find(bodies, length).withColumn("short", F.lit(None).cast("array<struct<from: long, to: long>>")), "repeat-stretches")
+    else:
+        shorter = settle(find(bodies, passage), "repeat-passages")
+        long_ = _sent(shorter.where(F.exists("stretches", lambda s: s["to"] - s["from"] >= length)))
+        longer = find(bodies.join(long_, _same(bodies, long_), "left_semi"), length).toDF(*[f"_{c}" for c in NAME], "long")
+        same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.expr(" AND ".join(f"{c} = _{c}" for c in NAME[1:]))
+        both = shorter.join(longer, same, "left")
+        spans = settle(both.select(*NAME, F.col("long").alias("stretches"), F.col("stretches").alias("short")), "repeat-stretches")
+    spans = _sent(spans)
     joined = named.join(spans, _same(named, spans), "left").select(
-        *[named[c] for c in named.columns if c not in NAME[1:]], spans["stretches"]
+        *[named[c] for c in named.columns if c not in NAME[1:]], spans["stretches"], spans["short"]
     )
-    carried = [c for c in joined.columns if c not in ("body", "stretches")]
+    carried = [c for c in joined.columns if c not in ("body", "stretches", "short")]
     fields = ", ".join(f"`{c}` {joined.schema[c].dataType.simpleString()}" for c in carried)
     with_text = text or own
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, stretches in zip(batch.column("body").cast(pa.binary()), batch.column("stretches")):
+            for value, stretches, short in zip(batch.column("body").cast(pa.binary()), batch.column("stretches"), batch.column("short")):
                 raw, at, left = value.as_py() or b"", 0, []
                 cuts = [(s["from"], s["to"]) for s in stretches.as_py() or ()]
                 for lo, hi in cuts:
@@ -373,16 +394,20 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
                 out.append((
                     len(raw), len(raw) - len(left), len(cuts), hashlib.sha256(left).hexdigest(),
                     left.decode("utf-8", "ignore") if with_text else None,
+                    sum(s["to"] - s["from"] for s in short.as_py() or ()), len(short.as_py() or ()),
                 ))
-            columns = list(zip(*out)) if out else [()] * 5
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            columns = list(zip(*out)) if out else [()] * 7
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "passage_bytes", "passage_spans"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *arrays], names=[*carried, *names])
 
-    done = joined.mapInArrow(apply, f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    done = joined.mapInArrow(
+        apply, f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, passage_bytes long, passage_spans long"
+    )
     if own:
         kept = F.when(~F.col("missing"), F.col("kept_text"))
         return done.select(*[kept.alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in columns])
-    out = done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * text)
+    extra = ["kept_text"] * text + ["passage_bytes", "passage_spans"] * (passage is not None)
+    out = done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *extra)
     return out.withColumnRenamed("kept_text", "text") if text else out
