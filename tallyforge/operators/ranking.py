@@ -8,33 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .scan import number_in_groups, number_values
 
-def global_dense_rank(rows: DataFrame, value: str, name: str, slices: int = 256) -> DataFrame:
-    """Dense rank of ``value``, largest first, over the whole frame.
 
-    Distinct values are cut in ``slices`` value ranges at approximate quantiles; ranks run inside a
-    slice and are shifted by the number of distinct values in the slices above. Only the slice counts
-    (at most ``slices`` rows) are ever seen together. The cut points steer balance, not the result.
-    """
+def global_dense_rank(rows: DataFrame, value: str, name: str, slices: int | None = None) -> DataFrame:
+    """Dense rank of ``value``, largest first, over the whole frame: the number of its distinct value in a
+    sample sort (``number_values``, in ``slices`` ranges or as many as the data need). Missing values share
+    the last rank."""
     values = rows.select(F.col(value).alias("_value")).distinct()
-    points = [i / slices for i in range(1, slices)]
-    cuts = values.agg(F.percentile_approx("_value", points)).scalar()
-    sliced = values.withColumn("_cuts", cuts).withColumn(
-        "_slice", F.size(F.filter(F.coalesce("_cuts", F.array()), lambda cut: cut > F.col("_value")))
-    ).drop("_cuts")
-    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
-    above = sizes.select(
-        "_slice",
-        F.coalesce(
-            F.sum("_size").over(W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_above"),
-    )
-    inside = F.row_number().over(W.partitionBy("_slice").orderBy(F.desc("_value")))
-    ranked = (
-        sliced.withColumn("_inside", inside)
-        .join(F.broadcast(above), "_slice")
-        .select("_value", (F.col("_inside") + F.col("_above")).cast("bigint").alias(name))
-    )
+    ranked = number_values(values, [F.desc("_value")], name, slices)
     return rows.join(ranked, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 
@@ -61,19 +43,6 @@ def top_per_group(rows: DataFrame, group: str, value: str, count: int, name: str
 
 
 def sequence_in_group(rows: DataFrame, group: str, period: str, order: Sequence[str], name: str) -> DataFrame:
-    """Running number per ``group`` in ``order``, whose leading column must grow with ``period``.
-
-    Numbers run inside (group, period) and are shifted by the group's rows in earlier periods, so a group
-    of any size is spread over its periods."""
-    inside = F.row_number().over(W.partitionBy(group, period).orderBy(*order))
-    sizes = rows.groupBy(group, period).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = F.sum("_size").over(W.partitionBy(group).orderBy(period).rowsBetween(W.unboundedPreceding, -1))
-    offsets = sizes.select(
-        F.col(group).alias("_group"), F.col(period).alias("_period"), F.coalesce(earlier, F.lit(0)).alias("_before")
-    )
-    return (
-        rows.withColumn("_inside", inside)
-        .join(offsets, (F.col(group) == F.col("_group")) & (F.col(period) == F.col("_period")))
-        .withColumn(name, F.col("_inside") + F.col("_before"))
-        .drop("_inside", "_group", "_period", "_before")
-    )
+    """Running number per ``group`` by ``period`` and then ``order``. A group of any size, one period of it
+    included, is spread over many parts."""
+    return number_in_groups(rows, [group], [period, *order], name)
