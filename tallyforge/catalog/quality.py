@@ -502,6 +502,49 @@ def csv_numbering(spark, sf_dir):
     )
 
 
+def _broken(column: str) -> str:
+    """A cell with line breaks, commas and quotes in every third record."""
+    text = f"coalesce(CAST({column} AS VARCHAR(1000)), '')"
+    return f"CASE WHEN source_row % 3 = 0 THEN concat({text}, chr(10), {text}, ',\"x\"', chr(10)) ELSE {text} END"
+
+
+def _quoted_sql(name: str) -> str:
+    *others, last = DIRTY.table(name).columns
+    cells = [*[f"coalesce(CAST({c} AS VARCHAR(1000)), '')" for c in others], _broken(last)]
+    return (
+        f"SELECT '{name}' AS \"table\", count(*) AS records, CAST(2 AS BIGINT) AS first_number, count(*) + 1 AS last_number,"
+        " count(*) AS distinct_numbers, CAST(0 AS BIGINT) AS ragged,"
+        f" CAST(sum({' + '.join(f'length({c})' for c in cells)}) AS BIGINT) AS characters,"
+        f" CAST(sum(length({cells[-1]}) - length(replace({cells[-1]}, chr(10), ''))) AS BIGINT) AS line_breaks FROM ({plain.RAW_SQL[name]}) r"
+    )
+
+
+@query("csv_quoted_lines", " UNION ALL ".join(_quoted_sql(t.name) for t in DIRTY.tables))
+def csv_quoted_lines(spark, sf_dir):
+    """All five tables delivered with line breaks inside quotes and scanned by blocks: every record arrives
+    whole, with gapless numbers."""
+    folder = shared_dir(spark, "delivery")
+    out = None
+    for t in DIRTY.tables:
+        rows = raw_tables(spark, sf_dir)[t.name]
+        last = t.columns[-1]
+        csv.write_csv(rows.withColumn(last, F.expr(_broken(last))).select(*t.columns), f"{folder}/{t.name}.csv")
+        scanned = csv.scan(spark, f"{folder}/{t.name}.csv", t.columns)
+        length = lambda c: F.length(F.coalesce(c, F.lit("")))
+        breaks = length(last) - length(F.replace(F.coalesce(last, F.lit("")), F.lit("\n"), F.lit("")))
+        per_number = scanned.groupBy("source_row").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("ragged").alias("ragged"), F.sum(sum((length(c) for c in t.columns), F.lit(0))).alias("characters"),
+            F.sum(breaks).alias("line_breaks"),
+        )
+        counts = per_number.agg(
+            F.lit(t.name).alias("table"), F.sum("n").alias("records"), F.min("source_row").alias("first_number"),
+            F.max("source_row").alias("last_number"), F.count(F.lit(1)).alias("distinct_numbers"), F.sum("ragged").alias("ragged"),
+            F.sum("characters").alias("characters"), F.sum("line_breaks").alias("line_breaks"),
+        )
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 @query("source_manifest", None)
 def source_manifest(spark, sf_dir):
     """Path, SHA-256, bytes, rows and columns of every delivered file. Digests depend on file layout, so

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import RunConfig
+from .quoted import scan_blocks
 
 _CORRUPT = "_corrupt_record"
 
@@ -44,20 +45,25 @@ _OPTIONS = {
 }
 
 
-def scan(spark: SparkSession, path: str, columns: list[str], *, quoted_newlines: bool = True) -> DataFrame:
+def scan(
+    spark: SparkSession, path: str, columns: list[str], *, quoted_newlines: bool = True, whole_files: bool = False
+) -> DataFrame:
     """All-text rows with ``source_row``, ``ragged`` and, for ragged rows, the untouched ``record``.
 
-    Records that span lines need whole files, so such inputs scale by their number of files. With
-    ``quoted_newlines=False`` large files are split and read by many tasks, line by line. Either way an
-    empty line is no record, and a line of blanks is one (with the wrong field count).
+    Large files are split and read by many tasks, also where records span lines (``quoted.records``);
+    ``quoted_newlines=False`` says that none does and saves the look at the quotes. ``whole_files`` gives every
+    file to one task, for files whose lines end in a carriage return alone. Either way an empty line is no
+    record, and a line of blanks is one (with the wrong field count).
     """
     check_header(spark, path, columns)
     schema = StructType([StructField(c, StringType()) for c in [*columns, _CORRUPT]])
-    if quoted_newlines:
+    if whole_files:
         reader = spark.read.schema(schema).options(header=True, enforceSchema=False, multiLine=True, **_OPTIONS)
         return number_records(reader.csv(path), columns)
-    lines = spark.read.text(path).filter(F.col("value") != "")
     fields = schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    if quoted_newlines:
+        return scan_blocks(spark, path, columns, fields, _OPTIONS, _CORRUPT)
+    lines = spark.read.text(path).filter(F.col("value") != "")
     parsed = lines.withColumn("_fields", F.from_csv("value", fields, _OPTIONS))
     rows = parsed.select(*[F.col("_fields")[c].alias(c) for c in [*columns, _CORRUPT]], "_metadata")
     return number_records(rows, columns, header=True)
