@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import BLANKS, settle
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-EXTRA = ("n_lines", "n_capitals", "n_shouts")
+EXTRA = ("n_lines", "n_capitals", "n_shouts", "n_symbol_words", "n_plain_words")
+
+# Words that hold a symbol, and words of letters with at most one sign behind them. Possessive, so that a word
+# is read once however long it is.
+_SYMBOL_WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D#*$%&|<>]*+[#*$%&|<>]"
+_PLAIN_WORD = r"(?<![^\x20\x09-\x0D])\p{L}++[.,;:?]?+(?![^\x20\x09-\x0D])"
 
 
 def _let(value: Column, body) -> Column:
@@ -94,26 +99,29 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_lines": F.col("_lines.n").cast("long"),
         "n_capitals": less(r"\p{Lu}+").cast("long"),
         "n_shouts": (F.char_length(text) - F.char_length(F.replace(text, F.lit("!"), F.lit("")))).cast("long"),
+        "n_symbol_words": F.regexp_count(text, F.lit(_SYMBOL_WORD)).cast("long"),
+        "n_plain_words": F.regexp_count(text, F.lit(_PLAIN_WORD)).cast("long"),
     }).drop("_words", "_lines")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad where ``bad`` holds, good where ``good`` holds, and abstains in between. ``precision`` is
-    the share of its bad votes that the fit takes to be right at its start."""
+    """Votes bad where ``bad`` holds, good where ``good`` holds, and abstains in between."""
 
     name: str
     good: str
     bad: str
-    precision: float = 0.97
 
 
-# Thresholds in whole numbers, so that every engine decides alike.
+# Thresholds in whole numbers, so that every engine decides alike. Each kind of junk is seen by two rules or
+# more, so that their agreement tells it from a rule's own mistakes.
 RULES = (
     Rule("symbols", "50 * n_symbols <= n_words", "4 * n_symbols >= n_words"),
-    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words", 0.7),
-    Rule("duplicate_lines", "n_dup_lines = 0", "2 * n_dup_lines >= n_lines", 0.5),
-    Rule("repetition", "10 * n_repeat_words <= n_words", "2 * n_repeat_words > n_words", 0.7),
+    Rule("symbol_words", "50 * n_symbol_words <= n_words", "5 * n_symbol_words >= n_words"),
+    Rule("plain_words", "5 * n_plain_words >= 4 * n_words", "5 * n_plain_words <= 3 * n_words"),
+    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
+    Rule("duplicate_lines", "n_dup_lines = 0", "2 * n_dup_lines >= n_lines"),
+    Rule("repetition", "10 * n_repeat_words <= n_words", "2 * n_repeat_words > n_words"),
     Rule("capitals", "5 * n_capitals <= word_chars", "2 * n_capitals >= word_chars"),
     Rule("shouting", "20 * n_shouts <= n_words", "5 * n_shouts >= n_words"),
 )
@@ -151,15 +159,18 @@ class Model:
 
 Patterns = list[tuple[tuple[int, ...], int]]
 
-# Share of good rows at the start, and how often the start's own verdicts count beside what is seen.
-PRIOR, ANCHOR = 0.8, 2.0
+# Where every fit begins: the share of good rows, and the chances of a vote in the good and in the bad class,
+# the same for all rules. They stay in the fit as this many rows, however large the table is.
+PRIOR, HELD = 0.8, 10.0
+# How often a rule may be taken to vote bad on good rows. Junk of a kind that only one rule sees would else be
+# explained as that rule's mistakes as soon as another kind is more common.
+ERRS = 0.01
+FIRST = {-1: (0.001, 0.2), 0: (0.1, 0.1), 1: (0.899, 0.7)}
 
 
 def start(rules: tuple[Rule, ...]) -> Model:
-    """Where the fit begins: a bad vote is right as often as its rule's precision says, good votes and
-    abstentions say nothing."""
-    bad = lambda r: (0.1 * (1 - r.precision) / PRIOR, 0.1 * r.precision / (1 - PRIOR))
-    return Model(PRIOR, tuple({-1: bad(r), 0: (1.0, 1.0), 1: (1.0, 1.0)} for r in rules))
+    """Where the fit begins: a bad vote of any rule is taken to be right, and the votes seen settle how far it is."""
+    return Model(PRIOR, (FIRST,) * len(rules))
 
 
 def _dealt(patterns: Patterns, model: Model, rules: tuple[Rule, ...]) -> tuple[float, list[dict[int, list[float]]]]:
@@ -174,29 +185,34 @@ def _dealt(patterns: Patterns, model: Model, rules: tuple[Rule, ...]) -> tuple[f
     return good, seen
 
 
-def fit(patterns: Patterns, rules: tuple[Rule, ...], rounds: int = 50) -> Model:
+def fit(patterns: Patterns, rules: tuple[Rule, ...], rounds: int = 200) -> Model:
     """Expectation-maximisation over vote patterns with counts: how often each rule votes bad, abstains
     or votes good in either class, and how common the good class is.
 
-    Junk of one kind sets off one rule and passes the others, so agreement alone would call it good. The
-    rows as the start deals them therefore stay in every round as pseudo-counts (ANCHOR times); beyond that
-    all chances move freely, so good votes of rules that junk seldom passes can outweigh a bad vote, and
-    abstentions can speak for either class. Which class is the good one is settled by a single bound: it
-    is at least half. Pseudo-counts of one row in a thousand, at least ten, keep rare votes finite.
+    All chances move freely from a start that is the same for every rule; it stays as pseudo-counts of HELD
+    rows, which keep rare votes finite. A bad vote that others confirm comes to weigh heavily, one that
+    mostly stands alone comes to weigh little, and so do abstentions. Three bounds settle which class is the
+    good one: it is at least half, a rule votes bad on at most ERRS of it, and in the bad class a rule
+    abstains no more often than in the good one or than it votes bad there. Without the last, rules that
+    abstain on the same rows would make a class of their own in a corpus without junk.
     """
     model, rows = start(rules), sum(n for _, n in patterns)
-    extra = max(10.0, rows / 1000)
-    first, anchor = _dealt(patterns, model, rules)
     for _ in range(rounds):
         good, seen = _dealt(patterns, model, rules)
-        prior = min(0.95, max(0.5, (good + ANCHOR * first + extra * PRIOR) / ((1 + ANCHOR) * rows + extra)))
+        prior = max(0.5, (good + HELD * PRIOR) / (rows + HELD))
         chances = []
-        for by_vote, held, rule in zip(seen, anchor, rules):
-            few = {-1: (1 - rule.precision, rule.precision), 0: (PRIOR, 1 - PRIOR), 1: (PRIOR, 1 - PRIOR)}
-            total = {v: [by_vote[v][c] + ANCHOR * held[v][c] + extra / 3 * few[v][c] for c in (0, 1)] for v in VOTES}
-            sums = [sum(total[v][c] for v in VOTES) for c in (0, 1)]
-            chances.append({v: (total[v][0] / sums[0], total[v][1] / sums[1]) for v in VOTES})
+        for by_vote in seen:
+            total = {v: [by_vote[v][c] + HELD * FIRST[v][c] * (PRIOR, 1 - PRIOR)[c] for c in (0, 1)] for v in VOTES}
+            good_part, bad_part = [{v: total[v][c] / sum(total[w][c] for w in VOTES) for v in VOTES} for c in (0, 1)]
+            wrong = min(good_part[-1], ERRS)
+            good_part = {-1: wrong, 0: good_part[0], 1: good_part[1] + good_part[-1] - wrong}
+            silent = min(bad_part[0], max(good_part[0], bad_part[-1]))
+            bad_part = {-1: bad_part[-1], 0: silent, 1: bad_part[1] + bad_part[0] - silent}
+            chances.append({v: (good_part[v], bad_part[v]) for v in VOTES})
+        moved = max(abs(prior - model.prior), *(abs(a[v][c] - b[v][c]) for a, b in zip(chances, model.chances) for v in VOTES for c in (0, 1)))
         model = Model(prior, tuple(chances))
+        if moved < 1e-9:
+            break
     return model
 
 

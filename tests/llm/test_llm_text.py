@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -109,6 +110,42 @@ def test_good_votes_outweigh_a_false_one():
     assert sum(n for (row, junk), n in kinds.items() if (model.log_odds(row) < 0) == junk) > 4950
 
 
+def test_fit_departs_from_its_start_and_leaves_clean_corpora_alone():
+    """The start rejects every bad vote; the fit keeps rows with a vote that others do not confirm."""
+    fine, lone, junk = (1,) * 8, (1, 1, -1, 1, 1, 1, 1, 1), (-1, -1, -1, 1, 1, 1, 1, 1)
+    silent, silent_twice = (1, 1, 1, 1, 0, 1, 1, 1), (1, 1, 1, 1, 0, 0, 1, 1)
+    for scale in (1, 1000, 10**6):
+        seen = {fine: 7800 * scale, lone: 60 * scale, junk: 600 * scale, (1, 1, 1, 1, -1, 1, 1, 1): 150 * scale}
+        model = quality.fit(sorted(seen.items()), quality.RULES)
+        first = quality.start(quality.RULES)
+        assert first.log_odds((1, 1, 1, 1, -1, 1, 1, 1)) < 0 < model.log_odds((1, 1, 1, 1, -1, 1, 1, 1))
+        assert model.log_odds(junk) < 0 < model.log_odds(fine)
+        clean = quality.fit(sorted({fine: 777 * scale, silent: 39 * scale, silent_twice: 14 * scale}.items()), quality.RULES)
+        assert all(clean.log_odds(p) > 0 for p in (fine, silent, silent_twice))
+
+
+def test_one_unconfirmed_rule_does_not_reject(spark):
+    """Good texts of doubled lines stay beside junk that three rules see; all-must-pass would drop them."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    line = lambda: " ".join(word() for _ in range(12)) + "."
+    good = [(i, "\n".join(line() for _ in range(9))) for i in range(300)]
+    junk = [(1000 + i, " ".join(word() + "***" for _ in range(90))) for i in range(40)]
+    doubled = [(2000 + i, "\n".join([line() for _ in range(7)] + ["a b"] * 9)) for i in range(10)]
+    got = {r.doc_id: r for r in quality.judge(frame(spark, good + junk + doubled)).collect()}
+    assert all(2 * r.n_dup_lines >= r.n_lines and not r.base_failed for i, r in got.items() if i >= 2000)
+    assert {i for i, r in got.items() if not r.kept} == {i for i, _ in junk}
+
+
+def test_word_kinds_match_plain_loops(spark):
+    texts = ["", "a", "a| |b", "Straße, été. x.. y! 1a a1 | $", "x" * 50_000 + " #" + "y" * 50_000, "\x0ba\x0cb\x1cc", "***\n***", "a,b c,"]
+    got = quality.measures(frame(spark, list(enumerate(texts)))).collect()
+    plain = lambda w: (w[:-1] if w[-1] in ".,;:?" else w).isalpha()
+    for r in got:
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", texts[r.doc_id]) if w]
+        assert (r.n_symbol_words, r.n_plain_words) == (sum(any(c in "#*$%&|<>" for c in w) for w in words), sum(map(plain, words)))
+
+
 def test_junk_labels(spark):
     """Held against the labels of a small table: junk goes and good documents that pass the base rule stay."""
     folder = "/root/testdata/sf0.01"
