@@ -15,11 +15,12 @@ RAW = frozenset("script style noscript template textarea title xmp iframe noembe
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NOT_TEXT = frozenset(
     "script style noscript template head nav header footer aside form button select option textarea input"
-    " iframe object embed canvas svg math menu dialog audio video map title noembed noframes".split()
+    " iframe object embed canvas svg annotation annotation-xml menu dialog audio video map title noembed noframes".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    " small span strike strong sub sup time tt u var wbr"
+    " math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle mpadded msub msup msubsup munder mover munderover".split()
 )
 # Blocks that belong to the text beside them.
 PLAIN = frozenset("h1 h2 h3 h4 h5 h6 hgroup p blockquote pre ul ol dl table figure".split())
@@ -44,8 +45,11 @@ CHROME = frozenset(
     " replies reply respond related recommended recommendations toolbar pagination pager widget copyright disclaimer".split()
 )
 ADDED = frozenset("comment comments commentlist disqus discussion replies reply respond related recommended recommendations".split())
+# Nouns that make any token one of additions or adverts, wherever they stand in it ("user-comments", "google-ad").
+NOUNS = ADDED - {"reply", "respond", "related", "recommended", "discussion"} | frozenset("ad ads adsbygoogle advert advertisement adsense".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PLACES = frozenset("site page main top bottom left right primary secondary global".split())
-SETTINGS = frozenset("has have no not with without by on off enabled disabled open closed inside".split())
+SETTINGS = frozenset("has have no not with without by on off enabled disabled open closed inside free".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
@@ -58,13 +62,14 @@ class Node:
     """One element: its place, what its subtree holds and its density."""
 
     __slots__ = (
-        "name", "parent", "children", "parts", "skip", "doubt", "prose", "article",
+        "name", "parent", "children", "parts", "skip", "doubt", "prose", "article", "inside",
         "chars", "tags", "link_chars", "link_tags", "sum", "density",
     )
 
     def __init__(self, name: str, parent: Node | None, skip: bool, doubt: str = ""):
         self.name, self.parent, self.skip, self.doubt = name, parent, skip, doubt
         self.prose, self.article = 0, False  # text outside links, and whether an article or main is inside
+        self.inside = name == "article" or parent is not None and parent.inside  # an article or in one
         self.children: list[Node] = []
         self.parts: list[str | Node] = []  # text and elements in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -81,6 +86,9 @@ def _named(value: str) -> str:
             return words[0]
         if len(words) == 2 and words[0] in PLACES and words[1] in CHROME:
             return words[1]
+        for word in words:
+            if word in NOUNS:
+                return word
     return ""
 
 
@@ -134,6 +142,7 @@ def parse(page: str) -> Node:
     """The page as a tree. Unclosed elements end where HTML's rules say; text in elements that are not
     part of any article is left out of the tree's counts."""
     root = at = Node("#page", None, False)
+    titles: list[Node] = []
     end = 0
     while m := _TAG.search(page, end):
         if m.start() > end:
@@ -160,9 +169,14 @@ def parse(page: str) -> Node:
                 if name == "tr" and at.name == "tr":  # the loop met an open cell of the row first
                     at = at.parent
         chrome, doubt = _is_chrome(name, m[3])
+        title = name == "header" and at.inside and not at.skip
+        if title:
+            chrome, doubt = _is_chrome("div", m[3])
         node = Node(name, at, at.skip or chrome, doubt)
         at.children.append(node)
         at.parts.append(node)
+        if title:
+            titles.append(node)
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, end)
             end = close.end() if close else len(page)
@@ -170,10 +184,26 @@ def parse(page: str) -> Node:
             at = node
     if end < len(page):
         at.parts.append(page[end:])
+    for node in titles:
+        _only_headings(node)
     _decide(root)
     return root
 
 
+def _only_headings(header: Node) -> None:
+    """Of the header of an article its headings stay; names, dates and buttons around them go."""
+    found, stack = [], [header]
+    while stack:
+        node = stack.pop()
+        if node.name in HEADINGS and not node.skip:
+            found.append(node)
+        else:
+            stack.extend(reversed(node.children))
+    for node in found:
+        node.parent = header
+    header.children, header.parts = found, list(found)
+
+
 def _nodes(root: Node) -> list[Node]:
     """All elements, parents before children."""
     out, stack = [], [root]
@@ -281,8 +311,9 @@ def _blocks(top: Node, out: list[list[str]], chosen=lambda node: node.parts) ->
 def main_text(page: str | None) -> str:
     """The article of a page: blocks in page order, one line each.
 
-    The element whose children's densities sum highest is the core. Where an ``article`` or ``main``
-    encloses it, that is the answer; otherwise every subtree that is at least as dense as the thinnest
+    The element whose children's densities sum highest is the core. It is sought inside the page's articles
+    or, where none has text of its own, in ``main``; the outermost one around it is the answer, together with
+    the articles beside it in one ``main``, unless they are mostly links. Otherwise every subtree that is at least as dense as the thinnest
     element on the path from the body to the core belongs to it, and so do text straight in the elements
     of the path, their ``h1`` and, beside the core, headings and plain blocks that are not mostly links.
     """
@@ -296,8 +327,16 @@ def main_text(page: str | None) -> str:
     live = [n for n in inside if not n.skip and n.chars]
     if not live:
         return ""
-    core = max(live, key=lambda n: n.sum)  # the first of equals
-    if not core.sum:
+    mostly_text = lambda n: 2 * n.link_chars <= n.chars
+    sought: set[int] = set()
+    for name in ("article", "main"):
+        for node in live:  # parents before children
+            if id(node.parent) in sought or node.name == name and mostly_text(node):
+                sought.add(id(node))
+        if sought:
+            break
+    core = max((n for n in live if not sought or id(n) in sought), key=lambda n: n.sum)  # the first of equals
+    if not core.sum and not sought:
         core = body
     path = [core]
     while path[-1] is not body:
@@ -305,7 +344,12 @@ def main_text(page: str | None) -> str:
     named = [n for n in path if n.name == "article"] or [n for n in path if n.name == "main"]
     out: list[list[str]] = [[]]
     if named:
-        _blocks(named[-1], out)
+        top = named[-1]
+        beside = [top]
+        if top.name == "article" and any(n.name == "main" for n in path):
+            beside = [n for n in top.parent.children if n is top or n.name == "article" and not n.skip and mostly_text(n)]
+        for node in beside:
+            _blocks(node, out)
     elif core is body:
         _blocks(body, out)
     else:

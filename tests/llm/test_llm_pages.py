@@ -154,3 +154,49 @@ def test_components(spark, part, monkeypatch):
         union.join(a, b)
     got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a LONG, b LONG"), "test").collect()}
     assert got == {x: union.find(x) for e in edges for x in e if e[0] != e[1]}
+
+
+def paragraphs(rng, n):
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(rng.randint(25, 60))) + "." for _ in range(n)]
+    return "".join(f"<p>{t}</p>" for t in texts), "\n".join(texts)
+
+
+SAID = "<p>" + "I liked this very much and would read more of it. " * 8 + "</p>"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article>%s</article><div id='user-comments'>" + SAID * 4 + "</div>", "%s"),
+    ("<div class='post'>%s</div><div id='reader-comments'>" + SAID * 4 + "</div>", "%s"),
+    ("<article>%s<section class='user-comments'>" + SAID * 4 + "</section></article>", "%s"),
+    ("<main><article><p>First of two, short.</p></article><article>%s</article></main>", "First of two, short.\n%s"),
+    ("<main><article>%s</article><article><a href='/x'>Another story to read</a></article></main>", "%s"),
+    ("<article><header><h1>A title</h1><p>By one</p><time>Today</time></header>%s</article>", "A title\n%s"),
+    ("<header><h1>The site</h1></header><article>%s</article>", "%s"),
+    ("<article>%s<div class='google-ad'>Buy this</div><ins class='adsbygoogle'>Buy that</ins></article>", "%s"),
+    ("<article>%s<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", "%s\nSo x=2 holds."),
+    ("<body class='has-comments'><div class='no-ads ad-free'>%s</div>", "%s"),
+])
+def test_article_is_found_beside_additions(page, want):
+    body, text = paragraphs(random.Random(1), 4)
+    assert html.main_text(page % body) == want % text
+
+
+def test_random_pages_give_their_known_article():
+    """Pages put together from a known article and pieces that are not one, in random order and nesting."""
+    rng = random.Random(5)
+    links = lambda n: "".join(f"<li><a href='/{k}'>Go to place {k}</a></li>" for k in range(n))
+    around = [
+        lambda: f"<nav><ul>{links(rng.randint(2, 9))}</ul></nav>", lambda: "<aside>" + SAID * rng.randint(1, 3) + "</aside>",
+        lambda: f"<div class='{rng.choice(['sidebar', 'site-footer', 'related-posts', 'cookie-notice', 'user-comments'])}'>{SAID * rng.randint(1, 6)}</div>",
+        lambda: "<script>var a = '<p>no</p>';</script>", lambda: "<form><p>Your name</p><input><button>Send</button></form>",
+        lambda: f"<section id='comments'><article class='comment'>{SAID}</article></section>",
+    ]
+    holders = ["<article>%s</article>", "<main>%s</main>", "<main><article>%s</article></main>", "<div><article class='post'>%s</article></div>"]
+    for _ in range(300):
+        body, text = paragraphs(rng, rng.randint(2, 8))
+        pieces = [rng.choice(around)() for _ in range(rng.randint(0, 6))]
+        pieces.insert(rng.randint(0, len(pieces)), rng.choice(holders) % body)
+        page = "".join(pieces)
+        for _ in range(rng.randint(0, 3)):
+            page = f"<div>{page}</div>"
+        assert html.main_text(f"<!DOCTYPE html><html><body>{page}</body></html>") == text
