@@ -16,8 +16,9 @@ from tallyforge.llm.common import components, settle, slices
 # Leading axes whose cells decide which vectors can meet, at most; dimensions compared at a time.
 GRID = 4
 STEP = 8
-# Room for rounding where a bound prunes.
+# Room for rounding where a bound prunes; pairs at the threshold that are looked at together.
 SLACK = 1e-9
+PAIRS = 1 << 14
 
 
 def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
@@ -52,13 +53,22 @@ def _find(parent: np.ndarray, i: int) -> int:
     return i
 
 
-def compare(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of each row of ``x`` with the same row of ``y``."""
+    dot = lambda a, b: np.einsum("ij,ij->i", a, b)
+    return dot(x, y) / np.sqrt(dot(x, x) * dot(y, y))
+
+
+def compare(
+    x: np.ndarray, y: np.ndarray, threshold: float, given: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of rows of ``x`` and ``y`` with cosine of at least ``threshold``.
 
     Rows are unit vectors on the principal axes. Products of the leading dimensions accumulate step by
     step; what is left of a product is at most the product of the norms of the two suffixes, and a pair
     is dropped when even that cannot reach the threshold. What remains is the whole product, in double
-    precision; turning the axes changes it by a few units in the last place.
+    precision. Turning the axes changes it by a few units in the last place, so pairs within SLACK of the
+    threshold are decided on the vectors as ``given``, where these are passed.
     """
     dims = x.shape[1]
     tails = lambda m: np.sqrt(np.maximum(0, np.cumsum((m * m)[:, ::-1], axis=1)[:, ::-1]))
@@ -79,6 +89,10 @@ def compare(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray,
         keep = bound >= threshold - SLACK
         i, j, value = i[keep], j[keep], value[keep]
     keep = value >= threshold
+    if given is not None and len(border := np.flatnonzero(np.abs(value - threshold) <= SLACK)):
+        for k in range(0, len(border), PAIRS):
+            part = border[k : k + PAIRS]
+            keep[part] = cosines(given[0][i[part]], given[1][j[part]]) >= threshold
     return i[keep], j[keep]
 
 
@@ -158,21 +172,22 @@ def _links(distinct: DataFrame, dims: int, threshold: float, rows_per_tile: int)
     most = distinct.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     grid = min(GRID, dims, max(1, math.ceil(math.log(most / (4 * rows_per_tile), 4)) if most > 4 * rows_per_tile else 1))
 
+    def turned_rows(raw: np.ndarray) -> np.ndarray:
+        return (raw / np.linalg.norm(raw, axis=1)[:, None]) @ axes
+
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = _matrix(batch.column("v"), dims)
-            x = (raw / np.linalg.norm(raw, axis=1)[:, None]) @ axes
-            cell = np.floor(x[:, :grid] / side).astype(np.int32)
+            cell = np.floor(turned_rows(_matrix(batch.column("v"), dims))[:, :grid] / side).astype(np.int32)
             lists = lambda m, t: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel(), t))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("node"), batch.column("copies"), lists(x, pa.float64()), lists(cell, pa.int32())],
-                names=["label", "node", "copies", "x", "cell"],
+                [batch.column("label"), batch.column("node"), batch.column("copies"), batch.column("v"), lists(cell, pa.int32())],
+                names=["label", "node", "copies", "v", "cell"],
             )
 
     kind = distinct.schema["label"].dataType.simpleString()
     turned = settle(
         distinct.select("label", "node", "copies", "v")
-        .mapInArrow(turn, f"label {kind}, node long, copies long, x array<double>, cell array<int>"),
+        .mapInArrow(turn, f"label {kind}, node long, copies long, v array<double>, cell array<int>"),
         "vectors-turned",
     )
     # Tiles: a cell is cut by a hash into as many as its rows ask for.
@@ -195,25 +210,27 @@ def _links(distinct: DataFrame, dims: int, threshold: float, rows_per_tile: int)
         .withColumn("tile_a", F.explode(F.sequence(F.lit(0), F.col("tiles_a") - 1)))
         .withColumn("tile_b", F.explode(F.sequence(F.lit(0), F.col("tiles_b") - 1)))
         .where("other OR tile_a <= tile_b")
-        .withColumn("pair", F.xxhash64("label", "cell_a", "cell_b", "tile_a", "tile_b"))
     )
-    side_a = pairs.select("label", F.col("cell_a").alias("cell"), F.col("tile_a").alias("tile"), "pair", F.lit(0).alias("side"))
+    # Pairs are told apart by their columns: a hash of them may be shared by two labels.
+    pair = ["label", "cell_a", "cell_b", "tile_a", "tile_b"]
+    side_a = pairs.select(*pair, F.col("cell_a").alias("cell"), F.col("tile_a").alias("tile"), F.lit(0).alias("side"))
     side_b = pairs.where("other OR tile_a <> tile_b").select(
-        "label", F.col("cell_b").alias("cell"), F.col("tile_b").alias("tile"), "pair", F.lit(1).alias("side")
+        *pair, F.col("cell_b").alias("cell"), F.col("tile_b").alias("tile"), F.lit(1).alias("side")
     )
-    work = tiled.join(side_a.unionByName(side_b), ["label", "cell", "tile"]).select("pair", "side", "label", "cell", "tile", "node", "copies", "x")
+    work = tiled.join(side_a.unionByName(side_b), ["label", "cell", "tile"]).select(*pair, "side", "node", "copies", "v")
 
     def link(group: pa.Table) -> pa.Table:
         out_node, out_other, out_n = [], [], []
         group = group.combine_chunks()
         side_of = np.array(group.column("side"))
         node, copies = np.array(group.column("node")), np.array(group.column("copies"))
-        x = _matrix(group.column("x").chunk(0), dims)
+        raw = _matrix(group.column("v").chunk(0), dims)
+        x = turned_rows(raw)
         a, b = np.nonzero(side_of == 0)[0], np.nonzero(side_of == 1)[0]
         same = not len(b)
         if same:
             b = a
-        i, j = compare(x[a], x[b], threshold)
+        i, j = compare(x[a], x[b], threshold, (raw[a], raw[b]))
         if same:
             keep = i != j
             i, j = i[keep], j[keep]
@@ -237,4 +254,4 @@ def _links(distinct: DataFrame, dims: int, threshold: float, rows_per_tile: int)
                 out_node.append(int(node[k])), out_other.append(int(node[root])), out_n.append(None)
         return pa.table({"node": pa.array(out_node, pa.int64()), "other": pa.array(out_other, pa.int64()), "n": pa.array(out_n, pa.int64())})
 
-    return work.groupBy("pair").applyInArrow(link, "node long, other long, n long")
+    return work.groupBy(*pair).applyInArrow(link, "node long, other long, n long")

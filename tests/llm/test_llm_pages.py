@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import brute
+import numpy as np
 import pytest
 
 from tallyforge.llm import common, embeddings, html, warc
@@ -200,3 +201,16 @@ def test_random_pages_give_their_known_article():
         for _ in range(rng.randint(0, 3)):
             page = f"<div>{page}</div>"
         assert html.main_text(f"<!DOCTYPE html><html><body>{page}</body></html>") == text
+
+
+def test_pairs_at_the_threshold_are_decided_as_given():
+    """Products over turned axes differ in the last places; the vectors as given decide."""
+    rng = np.random.default_rng(3)
+    axes, _ = np.linalg.qr(rng.normal(size=(24, 24)))
+    raw = rng.integers(-9, 10, size=(300, 24)).astype(float)
+    raw = raw[np.abs(raw).sum(axis=1) > 0]
+    x = (raw / np.linalg.norm(raw, axis=1)[:, None]) @ axes
+    every = np.array([embeddings.cosines(np.broadcast_to(r, raw.shape), raw) for r in raw])
+    for threshold in rng.choice(every[np.triu_indices(len(raw), 1)], 20):
+        i, j = embeddings.compare(x, x, float(threshold), (raw, raw))
+        assert set(zip(i.tolist(), j.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(every >= threshold))))
