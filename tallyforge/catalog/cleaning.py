@@ -10,8 +10,9 @@ from ..operators import audit
 from ..operators.clean import REJECTED, accepted, clean_all, return_findings, with_parent_flags, with_purchase
 from ..operators.identity import with_identity
 from ..operators.normalize import collect_reasons, normalize, read_fields
-from ..session import settler
+from ..session import settler, shared_dir
 from ..sources.lake import raw_tables
+from ..sources.observed import write_counted
 from . import cleaning_sql as plain
 from .base import query
 
@@ -182,6 +183,23 @@ def quality_summary(spark, sf_dir):
     return audit.quality_summary(_labelled(spark, sf_dir, CANONICAL))
 
 
+@query("observed_quality", plain.log() + _QUALITY)
+def observed_quality(spark, sf_dir):
+    """The quality summary as the writes of the labelled tables counted it."""
+    counts: dict[str, dict[str, int]] = {}
+
+    def settle(name: str, frame: DataFrame) -> DataFrame:
+        path = shared_dir(spark, name)
+        tallies = audit.disposition_tallies() if "disposition" in frame.columns else {}
+        seen = write_counted(frame, path, tallies)
+        if tallies:
+            counts[name] = seen
+        return spark.read.schema(frame.schema).parquet(path)
+
+    clean_all(raw_tables(spark, sf_dir), CONFIG, settle)
+    return audit.observed_quality(spark, counts)
+
+
 @query("quality_summary_sql_dialect", plain.log(True) + _QUALITY)
 def quality_summary_sql_dialect(spark, sf_dir):
     return audit.quality_summary(_labelled(spark, sf_dir, SQL_DIALECT))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig, TableSpec
@@ -40,14 +40,31 @@ def quality_summary(labelled: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([_quality_line(name, frame) for name, frame in labelled.items()])
 
 
-def _quality_line(name: str, labelled: DataFrame) -> DataFrame:
+def disposition_tallies() -> dict[str, Column]:
+    """The counts of a quality line as aggregates over a labelled table."""
     is_ = lambda word: F.count_if(F.col("disposition") == word)
-    counted = labelled.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        is_(DUPLICATE).alias("duplicate_rows_removed"),
-        is_(REJECTED).alias("rejected_rows"),
-        is_(ACCEPTED).alias("clean_rows"),
-    )
+    return {"duplicate_rows_removed": is_(DUPLICATE), "rejected_rows": is_(REJECTED), "clean_rows": is_(ACCEPTED)}
+
+
+def observed_quality(spark: SparkSession, counts: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The quality summary from the counts that the writes of the labelled tables reported (``rows`` and
+    ``disposition_tallies`` by table): no table is read."""
+    number = lambda n: F.lit(int(n)).cast("bigint")
+    lines = []
+    for name, seen in counts.items():
+        line = spark.range(1).select(
+            number(seen["rows"]).alias("raw_rows"), *[number(seen[tally]).alias(tally) for tally in disposition_tallies()]
+        )
+        lines.append(_with_accounting(name, line))
+    return union_all(lines)
+
+
+def _quality_line(name: str, labelled: DataFrame) -> DataFrame:
+    counted = labelled.agg(F.count(F.lit(1)).alias("raw_rows"), *[c.alias(n) for n, c in disposition_tallies().items()])
+    return _with_accounting(name, counted)
+
+
+def _with_accounting(name: str, counted: DataFrame) -> DataFrame:
     whole = F.col("duplicate_rows_removed") + F.col("rejected_rows") + F.col("clean_rows")
     return counted.select(
         F.lit(name).alias("table"), "*", (F.col("raw_rows") == whole).alias("accounting_passed")

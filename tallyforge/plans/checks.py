@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig, TableSpec
@@ -276,6 +276,17 @@ def staging_checks(guard: DataFrame) -> DataFrame:
     return guard.select(F.concat(F.lit("staging_"), "table").alias("check"), ok.alias("passed"), detail.alias("detail"))
 
 
+def staged_all_labelled(spark: SparkSession, staged: Mapping[str, int], quality: DataFrame) -> DataFrame:
+    """Every staged row was labelled: the rows that the writes of either stage counted are the same."""
+    rows = F.create_map(*[x for name, n in staged.items() for x in (F.lit(name), F.lit(n).cast("bigint"))])
+    counted = quality.withColumn("staged_rows", rows[F.col("table")])
+    return counted.select(
+        F.concat(F.lit("staged_all_labelled_"), "table").alias("check"),
+        F.coalesce(F.col("staged_rows") == F.col("raw_rows"), F.lit(False)).alias("passed"),
+        F.concat_ws(" ", "staged_rows", F.lit("staged,"), "raw_rows", F.lit("labelled")).alias("detail"),
+    )
+
+
 def actual_measures(model: Model, config: RunConfig, quality: DataFrame | None = None) -> DataFrame:
     """Counts and totals in the (measure, actual) form that expectations use."""
     names = ["completed_orders", "gross_sales", "discounts", "refunds", "net_sales", "sold_units", "returned_units"]

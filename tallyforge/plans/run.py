@@ -1,14 +1,17 @@
 """The batch run: a folder of CSV deliveries in, cleaned tables, evidence, summaries and checks out.
 
 Every stage is written before the next one reads it: parents are cleaned once however many children
-refer to them, and a lost executor costs a re-read. All outputs are overwritten, raw files are only read,
-so a second run over the same input gives the same result.
+refer to them, and a lost executor costs a re-read. Rows are counted by the writes themselves. All outputs
+are overwritten, raw files are only read, so a second run over the same input gives the same result;
+``reload`` gives every run a folder of its own and makes it current only when all of it is there.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,8 @@ from ..operators import audit
 from ..operators.clean import accepted, clean_all
 from ..operators.compare import expected_vs_actual
 from ..session import tune
-from ..sources import csv, files
+from ..sources import csv, files, versions
+from ..sources.observed import write_counted
 from . import checks, reports
 from .model import line_facts, prepared, register_views
 
@@ -58,13 +62,15 @@ def run(
         raise ValueError("the output folder must differ from the raw folder")
     tune(spark)
     raw = csv.read_tables(spark, raw_folder, config, quoted_newlines=quoted_newlines)
-    staged = csv.stage(raw, f"{out_folder}/staged", spark)
+    staged_rows: dict[str, int] = {}
+    staged = csv.stage(raw, f"{out_folder}/staged", spark, staged_rows)
     guard = _stored(spark, checks.staging_checks(audit.staging_guard(staged, config)), f"{out_folder}/checks/staging")
     checks.enforce(guard)
-    labelled = clean_all(staged, config, _store(spark, out_folder))
+    counts: dict[str, dict[str, int]] = {}
+    labelled = clean_all(staged, config, _store(spark, out_folder, counts))
     model = {t.name: accepted(labelled[t.name], t) for t in config.tables}
 
-    quality = _stored(spark, audit.quality_summary(labelled), f"{out_folder}/analysis/quality_summary")
+    quality = _stored(spark, audit.observed_quality(spark, counts), f"{out_folder}/analysis/quality_summary")
     if csv_outputs:
         write_evidence(labelled, out_folder, config)
     write_facts(spark, model, out_folder, config)
@@ -74,6 +80,7 @@ def run(
     register_views(spark, model, config, quality)
 
     results = checks.all_checks(model, config, quality).unionByName(checks.rule_checks(model, config)).unionByName(guard)
+    results = results.unionByName(checks.staged_all_labelled(spark, staged_rows, quality))
     if expectations:
         expected = files.read_expectations(spark, expectations, config)
         compared = expected_vs_actual(expected, checks.actual_measures(model, config, quality))
@@ -88,15 +95,47 @@ def run(
     return RunResult(labelled, model, quality, results)
 
 
-def _store(spark: SparkSession, out_folder: str):
-    """Labelled tables are partitioned by disposition, so children read accepted rows only."""
+def reload(spark: SparkSession, raw_folder: str, root: str, config: RunConfig = RETAIL_2025, *, force: bool = False, **options) -> versions.Version:
+    """``run`` into a new version under ``root``, committed as the current one once all its outputs are
+    written and all its checks have passed. Until then, and if it dies or fails, the version before stays
+    whole and current. An input that the current version was loaded from, with equal settings, is not
+    loaded again unless ``force`` is set.
+    """
+    if raw_folder.rstrip("/") == root.rstrip("/"):
+        raise ValueError("the output folder must differ from the raw folder")
+    tune(spark)
+    fingerprint = _fingerprint(spark, raw_folder, config, options)
+    before = versions.current(spark, root)
+    if before and before.fingerprint == fingerprint and not force:
+        return before
+    folder = versions.begin()
+    result = run(spark, raw_folder, f"{root}/{folder}", config, **options)
+    rows = {r["table"]: r["raw_rows"] for r in result.quality.select("table", "raw_rows").collect()}
+    return versions.commit(spark, root, folder, fingerprint=fingerprint, rows=rows)
+
+
+def _fingerprint(spark: SparkSession, raw_folder: str, config: RunConfig, options: Mapping[str, object]) -> str:
+    """Digest of the delivered files, the expectations and the settings. Files add up in any order, so their
+    number does not matter."""
+    paths = [f"{raw_folder}/{t.name}.csv" for t in config.tables] + ([str(options["expectations"])] if options.get("expectations") else [])
+    found = reduce(DataFrame.unionByName, [files.file_digests(spark, path) for path in paths])
+    name = F.sha2(F.concat_ws(":", "path", "sha256", F.col("bytes").cast("string")), 256)
+    pieces = [F.sum(F.conv(F.substring(name, at, 15), 16, 10).cast("decimal(38,0)")).alias(f"p{at}") for at in (1, 16, 31, 46)]
+    sums = found.agg(F.count(F.lit(1)).alias("files"), *pieces).first()
+    settings = [repr(config), *(f"{k}={v}" for k, v in sorted(options.items()))]
+    return hashlib.sha256("|".join([*map(str, sums), *settings]).encode()).hexdigest()
+
+
+def _store(spark: SparkSession, out_folder: str, counts: dict[str, dict[str, int]]):
+    """Labelled tables are partitioned by disposition, so children read accepted rows only; their writes
+    count the dispositions."""
 
     def settle(name: str, frame: DataFrame) -> DataFrame:
         path = f"{out_folder}/labelled/{name}"
-        writer = frame.write.mode("overwrite")
         if "disposition" in frame.columns:
-            writer = writer.partitionBy("disposition")
-        writer.parquet(path)
+            counts[name] = write_counted(frame, path, audit.disposition_tallies(), partition_by=["disposition"])
+        else:
+            frame.write.mode("overwrite").parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
     return settle

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import RunConfig
+from .observed import write_counted
 from .quoted import scan_blocks
 
 _CORRUPT = "_corrupt_record"
@@ -111,15 +112,17 @@ def read_tables(
     return {t.name: scan(spark, f"{folder}/{t.name}.csv", t.columns, quoted_newlines=quoted_newlines) for t in config.tables}
 
 
-def stage(raw: dict[str, DataFrame], folder: str, spark: SparkSession) -> dict[str, DataFrame]:
+def stage(raw: dict[str, DataFrame], folder: str, spark: SparkSession, counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Land raw tables as Parquet, so that later steps read numbered rows from splittable columns. Empty
-    tables are an error."""
+    tables are an error. ``counts`` receives the rows of each table, as its write saw them."""
     staged = {}
     for name, frame in raw.items():
-        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-        staged[name] = spark.read.parquet(f"{folder}/{name}")
-        if staged[name].isEmpty():
+        rows = write_counted(frame, f"{folder}/{name}")["rows"]
+        if not rows:
             raise EmptyInputError(f"{name} contains no data records")
+        if counts is not None:
+            counts[name] = rows
+        staged[name] = spark.read.parquet(f"{folder}/{name}")
     return staged
 
 
