@@ -11,7 +11,7 @@ from ..operators.clean import REJECTED, accepted, clean_all, return_findings, wi
 from ..operators.identity import with_identity
 from ..operators.normalize import collect_reasons, normalize, read_fields
 from ..session import settler, shared_dir
-from ..sources.lake import raw_tables
+from ..sources.lake import CUSTOMER_ID, raw_tables
 from ..sources.observed import write_counted
 from . import cleaning_sql as plain
 from .base import query
@@ -237,9 +237,9 @@ def column_profile(spark, sf_dir):
 
 
 @query("named_rows", f"{plain.log()} SELECT source_table, disposition, count(*) AS rows FROM log WHERE business_key IN"
-       " (SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') FROM customer WHERE c_acctbal < 0) GROUP BY ALL")
+       " (SELECT 'C' || CASE WHEN c_custkey < 1000000000000 THEN lpad(CAST(c_custkey AS VARCHAR), 12, '0') ELSE CAST(c_custkey AS VARCHAR) END FROM customer WHERE c_acctbal < 0) GROUP BY ALL")
 def named_rows(spark, sf_dir):
     """Dispositions of a given list of keys: the customers with a negative balance."""
     listed = spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_acctbal < 0")
-    keys = listed.select(F.concat(F.lit("C"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("business_key"))
+    keys = listed.select(F.expr(CUSTOMER_ID).alias("business_key"))
     return audit.sentinels(_log(spark, sf_dir, CANONICAL), keys)

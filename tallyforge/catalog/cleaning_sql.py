@@ -15,7 +15,8 @@ def _raw(columns: list[str], source: str, copies: str) -> str:
 
 
 def _base(columns: list[str], where: str = "") -> str:
-    return f"(SELECT {', '.join(columns)} FROM lineitem{where}) base"
+    placed = "(SELECT *, row_number() OVER () - 1 AS position FROM lineitem) placed"
+    return f"(SELECT {', '.join(columns)} FROM {placed}{where}) base"
 
 
 RAW_SQL = {

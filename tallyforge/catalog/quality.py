@@ -16,7 +16,7 @@ from ..plans import checks, reports
 from ..plans import model as facts
 from ..session import settler, shared_dir
 from ..sources import csv, files
-from ..sources.lake import model_tables, raw_tables
+from ..sources.lake import model_tables, padded, raw_tables
 from . import cleaning_sql as plain
 from .base import CONFIG, MONEY, UNITS, bundle_sql, query, with_model
 from .cleaning import _labelled
@@ -382,7 +382,7 @@ def expected_vs_actual(spark, sf_dir):
 
 _DIFF_COLUMNS = ["customer_name", "region", "segment", "email"]
 _DIFF_RIGHT = (
-    "SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS customer_id, c_name AS customer_name, r_name AS region, c_mktsegment AS segment,"
+    "SELECT 'C' || CASE WHEN c_custkey < 1000000000000 THEN lpad(CAST(c_custkey AS VARCHAR), 12, '0') ELSE CAST(c_custkey AS VARCHAR) END AS customer_id, c_name AS customer_name, r_name AS region, c_mktsegment AS segment,"
     " CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'c' || c_custkey || '@example.com' END AS email"
     " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 )
@@ -406,8 +406,7 @@ def _diff_sql() -> str:
 
 def _clean_and_source(spark, sf_dir):
     cleaned = accepted(_labelled(spark, sf_dir, CANONICAL)["customers"], DIRTY.table("customers"))
-    code = F.concat(F.lit("C"), F.lpad(F.col("customer_id").cast("string"), 12, "0"))
-    return cleaned, model_tables(spark, sf_dir)["customers"].withColumn("customer_id", code)
+    return cleaned, model_tables(spark, sf_dir)["customers"].withColumn("customer_id", F.expr(padded("C", "customer_id")))
 
 
 @query("dataset_diff", _diff_sql())

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig, retail_tables
+from .positions import with_position
 
 # The words of the lake's schema.
 LAKE_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -144,7 +145,7 @@ def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- dirty text
 
 
-def _code(letter: str, key: str, digits: int = 12) -> str:
+def padded(letter: str, key: str, digits: int = 12) -> str:
     """A letter and a key of at least ``digits`` digits; longer keys keep all of theirs."""
     text = f"CAST({key} AS STRING)"
     return f"concat('{letter}', lpad({text}, greatest(CAST(length({text}) AS INT), {digits}), '0'))"
@@ -155,7 +156,7 @@ def _us(day: str) -> str:
     return f"concat(substr({iso}, 6, 2), '/', substr({iso}, 9, 2), '/', substr({iso}, 1, 4))"
 
 
-CUSTOMER_ID = _code("C", "c_custkey")
+CUSTOMER_ID = padded("C", "c_custkey")
 CUSTOMER_RAW = [
     "c_custkey * 2 + 2 + copy AS source_row",
     f"CASE c_custkey % 11 WHEN 1 THEN concat(' ', lower({CUSTOMER_ID})) WHEN 2 THEN concat({CUSTOMER_ID}, ' ')"
@@ -172,7 +173,7 @@ CUSTOMER_COPIES = "CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END"
 PRODUCT_PRICE = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)"
 PRODUCT_RAW = [
     "p_partkey * 2 + 2 + copy AS source_row",
-    f"CASE p_partkey % 61 WHEN 4 THEN 'P-1' ELSE {_code('P', 'p_partkey')} END AS product_id",
+    f"CASE p_partkey % 61 WHEN 4 THEN 'P-1' ELSE {padded('P', 'p_partkey')} END AS product_id",
     "CASE WHEN copy = 1 THEN upper(p_name) ELSE p_name END AS product_name",
     "CASE p_partkey % 6 WHEN 1 THEN lower(p_type) WHEN 2 THEN concat(p_type, ' o''neil-x') ELSE p_type END AS category",
     f"CASE p_partkey % 29 WHEN 1 THEN concat('$', {PRODUCT_PRICE}) WHEN 2 THEN 'unknown' WHEN 3 THEN '0.00'"
@@ -185,9 +186,9 @@ PRODUCT_COPIES = "CASE WHEN p_brand = 'Brand#7' THEN 1 ELSE 0 END"
 ORDER_DAY = "CAST(o_orderdate AS DATE)"
 ORDER_RAW = [
     "o_orderkey * 2 + 2 + copy AS source_row",
-    f"CASE WHEN o_orderkey % 67 = 9 THEN concat({_code('O', 'o_orderkey')}, '#') ELSE {_code('O', 'o_orderkey')} END"
+    f"CASE WHEN o_orderkey % 67 = 9 THEN concat({padded('O', 'o_orderkey')}, '#') ELSE {padded('O', 'o_orderkey')} END"
     " AS order_id",
-    f"CASE WHEN o_orderkey % 71 = 2 THEN 'C99999999999X' ELSE {_code('C', 'o_custkey')} END AS customer_id",
+    f"CASE WHEN o_orderkey % 71 = 2 THEN 'C99999999999X' ELSE {padded('C', 'o_custkey')} END AS customer_id",
     f"CASE o_orderkey % 83 WHEN 1 THEN '1999-02-30' WHEN 2 THEN 'Feb 3 1999' WHEN 3 THEN '13/02/1999' WHEN 4 THEN ''"
     f" ELSE CASE WHEN copy = 1 OR o_orderkey % 5 = 1 THEN {_us(ORDER_DAY)} ELSE CAST({ORDER_DAY} AS STRING) END END"
     " AS order_date",
@@ -200,9 +201,9 @@ ORDER_COPIES = "CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END"
 # Lines are textified in two steps: parts that several columns share are named once in the base step.
 
 
-# Lines may share order and line number; a running number among those few makes the row number unique.
-_RUNNING = "row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate)"
-ROW_NUMBER = f"(CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 2048 + {_RUNNING} * 2"
+# Lines may share order and line number, so what numbers a line is its ``position`` in the table, which both
+# engines find out for themselves.
+ROW_NUMBER = "position * 2 + 2"
 
 
 def line_base(int_div: str) -> list[str]:
@@ -210,9 +211,9 @@ def line_base(int_div: str) -> list[str]:
     return [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         f"{ROW_NUMBER} AS row_number",
-        f"{_code('L', 'l_orderkey')} AS line_code",
-        f"{_code('O', 'l_orderkey')} AS order_code",
-        f"{_code('P', 'l_partkey')} AS product_code",
+        f"{padded('L', 'l_orderkey')} AS line_code",
+        f"{padded('O', 'l_orderkey')} AS order_code",
+        f"{padded('P', 'l_partkey')} AS product_code",
         f"CAST({QUANTITY} AS STRING) AS quantity_text",
         f"CAST({unit_price(int_div)} AS STRING) AS price_text",
         "CAST(l_discount AS DECIMAL(5,4)) AS rate",
@@ -241,8 +242,8 @@ def event_base() -> list[str]:
     return [
         "l_orderkey", "l_suppkey", "l_linenumber",
         f"{ROW_NUMBER} AS row_number",
-        f"{_code('R', 'l_orderkey')} AS event_code",
-        f"{_code('L', 'l_orderkey')} AS line_code",
+        f"{padded('R', 'l_orderkey')} AS event_code",
+        f"{padded('L', 'l_orderkey')} AS line_code",
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS day_text",
         f"CAST({EVENT_UNITS} AS STRING) AS units_text",
         f"{REASON} AS reason_text",
@@ -271,7 +272,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    lineitem = read(spark, sf_dir, "lineitem", [*LINE_COLUMNS, "l_returnflag"])
+    lineitem = with_position(read(spark, sf_dir, "lineitem")).select(*LINE_COLUMNS, "l_returnflag", "position")
 
     def copied(frame: DataFrame, copies: str, columns: list[str]) -> DataFrame:
         return frame.selectExpr("*", f"explode(sequence(0, {copies})) AS copy").selectExpr(*columns)
