@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ..operators.ranking import global_dense_rank, sequence_in_group, top_per_gr
 from ..session import settler
 from .metrics import BUNDLE, finish, grand_total, metrics, monthly_summary, on_spine, summary, trend, with_share
 from .model import (
-    MEASURES, Model, _returned_lines, _with_measures, completed_orders, fold, measures, months, order_sales,
+    MEASURES, UNITS, Model, _returned_lines, _with_measures, completed_orders, fold, measures, months, order_sales,
     order_totals, sales_lines,
 )
 
@@ -329,36 +330,82 @@ def region_order_pivot(model: Model, config: RunConfig, statuses: list[str] | No
     return pivot.fillna(0).select("region", *[F.col(w).alias(f"{w.lower()}_orders") for w in words])
 
 
+def additive_groups(model: Model, config: RunConfig, names: Sequence[str] | None = None) -> DataFrame:
+    """The seven sums per member of every summary: summary, member (as text) and the measures.
+
+    Both facts are read once. Lines fold to products, orders to customer, month and channel, and grouping
+    sets run over these folds, so nothing but folded rows is repeated for each set. The rows of ``lines``
+    and ``order_summary`` are totals: of all lines, and of all orders whose customer is known.
+    """
+    products = fold(sales_lines(model, config), ["product_id", "category"])
+    placed = fold(order_sales(model, config, keep_empty=False), ["customer_id", "month_start", "channel"]).join(
+        model["customers"].select("customer_id", "region", F.lit(True).alias("known")), "customer_id", "left"
+    )
+    by_line = {"lines": [], "category_summary": ["category"], "product_summary": ["product_id"]}
+    by_order = {
+        "order_summary": ["known"], "monthly_summary": ["month_start"], "channel_summary": ["channel"],
+        "region_summary": ["known", "region"], "customer_summary": ["customer_id"],
+    }
+    wanted = {*by_line, *by_order} if names is None else set(names)
+    sides = [(products, {k: v for k, v in by_line.items() if k in wanted}), (placed, {k: v for k, v in by_order.items() if k in wanted})]
+    groups = [_grouping_sets(rows, sets) for rows, sets in sides if sets]
+    return reduce(DataFrame.unionByName, groups)
+
+
+def _grouping_sets(rows: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
+    """One row per summary and member; a set with ``known`` leaves out what lacks it."""
+    keys = list(dict.fromkeys(k for s in sets.values() for k in s))
+    sums = [F.sum(m).cast("bigint" if m in UNITS else MEASURE).alias(m) for m in MEASURES]
+    if not keys:
+        return rows.agg(*sums).select(F.lit(next(iter(sets))).alias("summary"), F.lit(None).cast("string").alias("member"), *MEASURES)
+    grouped = rows.groupingSets([[F.col(k) for k in s] for s in sets.values()], *keys).agg(F.grouping_id().alias("_set"), *sums)
+    # A key that is not in the set has its bit, the first key the highest.
+    bits = {name: sum(1 << i for i, k in enumerate(reversed(keys)) if k not in s) for name, s in sets.items()}
+    chosen = [F.when(F.col("_set") == b, F.lit(name)) for name, b in bits.items()]
+    member = [F.when(F.col("_set") == bits[name], F.col(s[-1]).cast("string")) for name, s in sets.items() if s[-1:] not in ([], ["known"])]
+    named = grouped.withColumns({"summary": F.coalesce(*chosen), "member": F.coalesce(*member)})
+    partial = [name for name, s in sets.items() if "known" in s]
+    if partial:
+        named = named.filter(~F.col("summary").isin(partial) | F.col("known"))
+    return named.select("summary", "member", *MEASURES)
+
+
 def findings(model: Model, config: RunConfig) -> DataFrame:
-    """Best and worst of the small summaries. Ties go to the first key; a NULL rate counts as zero."""
-    by_month = on_spine(_spine(model, config), monthly_totals(model, config)).withColumn("member", F.date_format("month_start", "yyyy-MM"))
-    categories = category_summary(model, config).withColumn("member", F.col("category"))
-    channels = channel_summary(model, config).withColumn("member", F.col("channel"))
-    regions = region_summary(model, config).withColumn("member", F.col("region"))
-    rate = F.coalesce("unit_return_rate", F.lit(0))
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _extreme("peak_month", by_month, F.col("net_sales"), largest=True),
-            _extreme("lowest_month", by_month, F.col("net_sales"), largest=False),
-            _extreme("top_category", categories, F.col("net_sales"), largest=True),
-            _extreme("highest_return_rate_category", categories, rate, largest=True),
-            _extreme("top_channel", channels, F.col("net_sales"), largest=True),
-            _extreme("top_region", regions, F.col("net_sales"), largest=True),
-        ],
+    """Best and worst of the small summaries. Ties go to the first key; a NULL rate counts as zero.
+
+    One pass over the groups: each extreme is the least pair of (signed) value and key."""
+    groups = additive_groups(model, config, ["category_summary", "monthly_summary", "channel_summary", "region_summary"])
+    groups = groups.select("summary", "member", *[F.col(c).cast("decimal(38,10)") for c in ("net_sales", "sold_units", "returned_units")])
+    none = [F.lit(0).cast("decimal(38,10)").alias(c) for c in ("net_sales", "sold_units", "returned_units")]
+    empty = _spine(model, config).select(F.lit("monthly_summary").alias("summary"), F.col("month_start").cast("string").alias("member"), *none)
+    filled = groups.unionByName(empty).groupBy("summary", "member").agg(
+        *[F.sum(c).cast("decimal(38,10)").alias(c) for c in ("net_sales", "sold_units", "returned_units")]
+    )
+    rate = F.coalesce(ratio(F.col("returned_units").cast("decimal(18,6)"), F.col("sold_units").cast("decimal(18,6)")), F.lit(0)).cast("decimal(38,10)")
+    valued = filled.withColumns({"rate": rate, "member": F.when(F.col("summary") == "monthly_summary", F.substring("member", 1, 7)).otherwise(F.col("member"))})
+    least = lambda value: F.min(F.struct(value.alias("value"), F.col("member").alias("member")))
+    ends = valued.groupBy("summary").agg(
+        least(-F.col("net_sales")).alias("top"), least(F.col("net_sales")).alias("low"), least(-F.col("rate")).alias("rate")
     )
+    wanted = [
+        ("peak_month", "monthly_summary", "top"), ("lowest_month", "monthly_summary", "low"), ("top_category", "category_summary", "top"),
+        ("highest_return_rate_category", "category_summary", "rate"), ("top_channel", "channel_summary", "top"),
+        ("top_region", "region_summary", "top"),
+    ]
+    cells = [
+        F.when(F.col("summary") == summary, F.struct(
+            F.lit(name).alias("finding"), F.col(end)["member"].alias("member"),
+            (F.col(end)["value"] * (1 if end == "low" else -1)).cast("decimal(38,10)").alias("value"),
+        ))
+        for name, summary, end in wanted
+    ]
+    return ends.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*")
 
 
 def monthly_totals(model: Model, config: RunConfig) -> DataFrame:
     return fold(order_sales(model, config, keep_empty=False), ["month_start"])
 
 
-def _extreme(name: str, groups: DataFrame, metric: Column, *, largest: bool) -> DataFrame:
-    valued = groups.select("member", metric.cast("decimal(38,10)").alias("value"))
-    order = F.desc("value") if largest else F.asc("value")
-    return valued.orderBy(order, "member").limit(1).select(F.lit(name).alias("finding"), "member", "value")
-
-
 # ------------------------------------------------------------------ scenarios
 
 

@@ -135,6 +135,34 @@ def test_findings_prefer_the_first_key_on_ties(shop):
     assert found["top_category"] == "Chairs" and found["top_region"] == "East"
 
 
+def test_groups_of_one_pass_equal_each_summary(shop):
+    got = reports.additive_groups(shop, CONFIG).collect()
+    summaries = {
+        "category_summary": (reports.category_summary, "category"), "product_summary": (reports.product_summary, "product_id"),
+        "channel_summary": (reports.channel_summary, "channel"), "region_summary": (reports.region_summary, "region"),
+        "customer_summary": (reports.customer_totals, "customer_id"), "monthly_summary": (reports.monthly_totals, "month_start"),
+    }
+    for name, (build, key) in summaries.items():
+        plain = {(str(r[key]), *[r[m] for m in facts.MEASURES]) for r in build(shop, CONFIG).collect()}
+        found = {tuple(r[1:]) for r in got if r["summary"] == name}
+        # A summary of all customers also lists those without a purchase.
+        assert found == {p for p in plain if any(p[1:])}, name
+    assert {r["net_sales"] for r in got if r["summary"] in ("lines", "order_summary")} == {D("115")}
+
+
+def test_reconciliation_notices_planted_gaps(spark, shop):
+    passed = lambda model: {n[10:] for n, ok in by(checks.reconcile_summaries(model, CONFIG), "check", "passed").items() if not ok}
+    assert passed(shop) == set()
+    # An unknown customer is missing from the summaries that need its attributes.
+    assert passed({**shop, "customers": shop["customers"].filter("customer_id <> 'C2'")}) == {"order_summary", "region_summary"}
+    # A stored fact that lost an order.
+    totals = facts.order_totals(shop, CONFIG).filter("order_id <> 'O4'")
+    orders = {"order_summary", "monthly_summary", "channel_summary", "region_summary", "customer_summary"}
+    assert passed({**shop, "order_totals": totals}) == orders
+    nothing = {**shop, "order_lines": shop["order_lines"].filter("1 = 0")}
+    assert len(checks.reconcile_summaries(nothing, CONFIG).collect()) == 7 and passed(nothing) == set()
+
+
 def test_what_if(spark):
     model = parents(spark)
     one = model["order_lines"].withColumn("quantity", F.lit(1)).withColumn("discount_rate", F.lit("0.2").cast("decimal(5,4)"))
