@@ -58,3 +58,19 @@ def test_the_dirty_view_needs_no_shuffle_and_no_room_for_repeats(spark, tmp_path
 def test_long_keys_stay_whole(spark):
     key = spark.sql(f"SELECT {lake.padded('C', 'k')} AS code FROM VALUES (7L), (1234567890123456L) t(k)")
     assert [r["code"] for r in key.collect()] == ["C000000000007", "C1234567890123456"]
+
+
+def test_row_numbers_follow_from_the_data(spark, tmp_path):
+    # Equal rows in files that are cut and ordered in two ways; orders 1 and 3 hold a line twice, one key is null.
+    line = (
+        "SELECT k AS l_orderkey, CAST(p AS BIGINT) AS l_partkey, 6L AS l_suppkey, 1 AS l_linenumber, 2D AS l_quantity, 10D AS l_extendedprice,"
+        " 0D AS l_discount, TIMESTAMP_NTZ'1999-01-01 00:00:00' AS l_shipdate, 'R' AS l_returnflag"
+        " FROM VALUES (3L, 5), (1L, 7), (2L, 4), (1L, 2), (3L, 5), (NULL, 1) t(k, p)"
+    )
+    numbers = []
+    for name, order, files in (("a", "p", 1), ("b", "p DESC", 3)):
+        path = str(tmp_path / name)
+        spark.sql(line).orderBy(F.expr("l_partkey") if order == "p" else F.expr("l_partkey").desc()).repartition(files).write.parquet(f"{path}/lineitem.parquet")
+        rows = lake.numbered_lines(spark, path).select("l_orderkey", "l_partkey", "position").collect()
+        numbers.append(sorted((r["position"], r["l_orderkey"], r["l_partkey"]) for r in rows))
+    assert numbers[0] == numbers[1] == [(0, None, 1), (1, 1, 2), (2, 1, 7), (3, 2, 4), (4, 3, 5), (5, 3, 5)]
