@@ -8,7 +8,6 @@ gives every block the state it starts in and the records before it.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,22 +17,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_CLOSED = re.compile(r'(?:[^"]|"")*+"')
+from ..session import settler
+
+# What follows an opening quote up to the end of its field, a whole field, and the lines that end outside
+# quotes when they begin outside (0) or inside (1). Quotes open only at the start of a field; a doubled quote
+# stands for itself.
+_REST = r'(?:[^"]|"")*"(?:[^",][^,]*)?'
+_FIELD = rf'(?:[^",][^,]*|"{_REST})?'
+_ENDS_OUTSIDE = (rf"\A{_FIELD}(?:,{_FIELD})*\z", rf"\A{_REST}(?:,{_FIELD})*\z")
+
+
+def _turns(lines: pa.Array) -> list[np.ndarray]:
+    """The states (1: inside quotes) that lines end in, entered outside and inside quotes."""
+    raw = lines.cast(pa.binary())
+    return [1 - pc.match_substring_regex(raw, p).to_numpy(zero_copy_only=False).astype(np.int32) for p in _ENDS_OUTSIDE]
 
 
 def state_after(line: str, inside: bool) -> bool:
-    """Whether a line ends inside quotes. Quotes open only at the start of a field; a doubled quote stands
-    for itself."""
-    at = 0
-    while True:
-        if inside or line.startswith('"', at):
-            closed = _CLOSED.match(line, at + (not inside))
-            if closed is None:
-                return True
-            at, inside = closed.end(), False
-        at = line.find(",", at) + 1
-        if at == 0:
-            return False
+    """Whether a line ends inside quotes."""
+    return bool(_turns(pa.array([line]))[int(inside)][0])
+
+
+def _states(lines: pa.Array, quoted: np.ndarray, entered: list[int]) -> np.ndarray:
+    """The states that lines which follow each other end in, a row for each state before the first. A line
+    leaves the state, turns it round or sets it; what counts is the last one that sets it and the turns since."""
+    out = np.arange(2, dtype=np.int32)[:, None].repeat(len(quoted), 1)
+    if quoted.any():
+        out[:, quoted] = _turns(lines.filter(pa.array(quoted)))
+    sets, turns = out[0] == out[1], np.cumsum(out[0] > out[1])
+    last = np.maximum.accumulate(np.where(sets, np.arange(len(sets)), -1))
+    since = turns - np.where(last >= 0, turns[last], 0)
+    begun = [np.where(last >= 0, out[0][last], s) for s in entered]
+    return np.array([(b + since) % 2 for b in begun], np.int32)
 
 
 # Of a line: where it stands, and for a block entered outside (0) and inside (1) quotes the state before
@@ -60,17 +75,11 @@ def _reports(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 place, at, state, begun = now, 0, [0, 1], [0, 0]
             index[lo:hi] = np.arange(at, at + hi - lo)
             at += hi - lo
+            # Only lines with quotes change the state.
+            after[:, lo:hi] = _states(batch.column("value").slice(lo, hi - lo), quoted[lo:hi], state)
             for s in (0, 1):
-                # Only lines with quotes change the state.
-                turns = (np.flatnonzero(quoted[lo:hi]) + lo).tolist()
-                first = lo
-                for i in turns:
-                    before[s, first : i + 1] = state[s]
-                    after[s, first:i] = state[s]
-                    state[s] = int(state_after(batch.column("value")[i].as_py(), bool(state[s])))
-                    after[s, i] = state[s]
-                    first = i + 1
-                before[s, first:hi] = after[s, first:hi] = state[s]
+                before[s, lo], before[s, lo + 1 : hi] = state[s], after[s, lo : hi - 1]
+                state[s] = int(after[s, hi - 1])
                 records[s, lo:hi] = np.cumsum((before[s, lo:hi] == 0) & filled[lo:hi]) + begun[s]
                 begun[s] = int(records[s, hi - 1])
         arrays = [pa.array(x) for x in (index, before[0], before[1], after[0], after[1], records[0], records[1])]
@@ -80,10 +89,29 @@ def _reports(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _entries(lines: DataFrame) -> DataFrame:
+_END = ["_file", "_block", "a0", "a1", "n0", "n1"]
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last report of every block; a block's lines follow each other in one task."""
+    last: pa.RecordBatch | None = None
+    for batch in _reports(batches):
+        both = batch.select(_END) if last is None else pa.concat_batches([last, batch.select(_END)])
+        files, blocks = both.column("_file").dictionary_encode().indices.to_numpy(), both.column("_block").to_numpy()
+        final = np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1]))
+        if len(final):
+            yield both.take(pa.array(final))
+        last = both.slice(both.num_rows - 1)
+    if last is not None:
+        yield last
+
+
+def _entries(text: DataFrame) -> DataFrame:
     """For every block: the state it starts in, the records before it (headers counted), those of its own
-    file, and the files up to it. One row a block comes together here, nothing of the data."""
-    ends = lines.groupBy("_file", "_block").agg(F.max_by(F.struct("a0", "a1", "n0", "n1"), "_at").alias("e")).select("_file", "_block", "e.*")
+    file, and the files up to it. One row a block comes together here, nothing of the data; the rows are
+    stored, so that lines meet them where they are read and are not shuffled for it."""
+    found = text.mapInArrow(_ends, "_file string, _block long, a0 int, a1 int, n0 long, n1 long")
+    ends = settler(text.sparkSession)("blocks", found)
     own = W.partitionBy("_file").orderBy("_block")
     earlier = own.rowsBetween(W.unboundedPreceding, -1)
     swaps = F.when((F.col("a0") == 1) & (F.col("a1") == 0), 1).otherwise(0)
@@ -121,7 +149,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     lines = text.mapInArrow(_reports, _SCHEMA)
     either = lambda x: F.when(F.col("inside") == 1, F.col(f"{x}1")).otherwise(F.col(f"{x}0"))
     same = (F.col("_file") == F.col("_of")) & (F.col("_block") == F.col("_ob"))
-    placed = lines.join(_entries(lines), same).select(
+    placed = lines.join(F.broadcast(_entries(text)), same).select(
         "_file", "_block", "_at", "value", either("b").alias("before"), either("a").alias("after"),
         (either("n") + F.col("_own_before")).alias("in_file"), (either("n") + F.col("_before") - F.col("_files") + 1).alias("source_row"),
     )

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,27 @@ def test_headers_of_all_files_are_checked(spark, tmp_path):
     (folder / "2.csv").write_text('"b",a\n3,4\n')
     with pytest.raises(Exception, match="header"):
         csv.scan(spark, str(folder), COLUMNS).collect()
+
+
+def test_lines_meet_their_blocks_without_a_shuffle(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b\n" + "".join(f'{i},"x\ny"\n' for i in range(50)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quoted.records(spark, str(path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_states_of_lines_that_follow_each_other():
+    draw = random.Random(7)
+    for _ in range(100):
+        lines = ["".join(draw.choice('",ab') for _ in range(draw.randint(0, 7))) for _ in range(draw.randint(1, 20))]
+        got = quoted._states(pa.array(lines), np.array(['"' in x for x in lines]), [0, 1])
+        for s in (0, 1):
+            now = bool(s)
+            for i, line in enumerate(lines):
+                now = quoted.state_after(line, now)
+                assert bool(got[s][i]) is now
