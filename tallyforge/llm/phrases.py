@@ -19,9 +19,9 @@ from tallyforge.llm.common import settle
 LONGEST, LEAST, BEST = 5, 100, 2000
 # Bits of a filter of frequent names (a fixed 16 MB) and of one of its blocks; entries of stripes and names
 # that a task holds before it hands them on; slices of a stripe; salts of the first round of the ranking.
-FILTER, BLOCK, HELD, NAMED, SLICES, SALTS = 27, 15, 1 << 18, 1 << 22, 256, 64
+FILTER, BLOCK, HELD, NAMED, SLICES, SALTS = 27, 15, 1 << 16, 1 << 21, 256, 64
 # Phrases of up to so many words are counted by name first, longer ones are known by their parts.
-COUNTED = 3
+COUNTED = 5
 
 # What ends a piece, and what separates words.
 _ENDS = np.zeros(256, bool)
@@ -171,7 +171,8 @@ def _named(texts: DataFrame, size: int, filters: list[Broadcast], least: int) ->
     counted together, so all frequent ones are among them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [f.value for f in filters]
+        # Runs one word shorter are all that is looked up.
+        known = [*[None] * (len(filters) - 1), filters[-1].value]
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
 
@@ -249,9 +250,9 @@ def mine(
     One structure answers all of it: the stripes, one for each prefix, count next words. Their entries are
     the phrases' counts (extensions), the entries of the level below are the totals of prefixes and rests,
     and the greatest entry of a stripe, or of the stripes that end alike, is the subsumption maximum. Only
-    phrases that may be frequent get an entry: words first, then names (64-bit hashes) of two and of three
-    words are counted, each over what the one before lets pass, and filters of a fixed size keep what is
-    frequent; longer phrases need all their parts of three words. Counts and comparisons are over the words
+    phrases that may be frequent get an entry: words first, then names (64-bit hashes) of two, three and up to
+    COUNTED words are counted, each over what the one before lets pass, and filters of a fixed size keep what
+    is frequent; still longer phrases need all their parts of COUNTED words. Counts and comparisons are over the words
     themselves and all texts.
 
     A null text is empty and a null language ``und``; repeated rows count each; an empty table gives an empty

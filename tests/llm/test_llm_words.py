@@ -293,3 +293,14 @@ def test_a_long_run_and_every_run_shortened(spark):
     for every in (1, 31):
         want = plain_variants(plain_words([(r[0], r[1]) for r in rows], every=every))
         assert in_order(variants.group(frame(spark, rows), every=every)) == want
+
+
+def test_only_frequent_phrases_of_any_length_are_handed_on(spark, monkeypatch):
+    """Four words whose parts of three are frequent, but which occur once each, get no entry."""
+    rows = [(i, "a b c. b c d", "en") for i in range(5)] + [(9, "a b c d", "en")]
+    seen = []
+    merged = phrases._merged
+    monkeypatch.setattr(phrases, "_merged", lambda t, sizes, filters: seen.append(merged(t, sizes, filters)) or seen[-1])
+    got = phrases.mine(frame(spark, rows), least=5)
+    assert sorted(map(tuple, got.collect())) == plain_phrases([r[1:] for r in rows], 5)
+    assert {r["prefix"] + " " + r["word"] for r in seen[-1].collect()} == {"a b", "b c", "c d", "a b c", "b c d"}
