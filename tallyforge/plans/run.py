@@ -20,7 +20,7 @@ from ..config import RETAIL_2025, RunConfig
 from ..operators import audit
 from ..operators.clean import accepted, clean_all
 from ..operators.compare import expected_vs_actual
-from ..session import tune
+from ..session import FACT_SETTINGS, tune
 from ..sources import csv, files, versions
 from ..sources.observed import write_counted
 from . import checks, reports
@@ -60,7 +60,7 @@ def run(
     after all outputs are in place."""
     if raw_folder.rstrip("/") == out_folder.rstrip("/"):
         raise ValueError("the output folder must differ from the raw folder")
-    tune(spark)
+    tune(spark, FACT_SETTINGS)
     raw = csv.read_tables(spark, raw_folder, config, quoted_newlines=quoted_newlines)
     staged_rows: dict[str, int] = {}
     staged = csv.stage(raw, f"{out_folder}/staged", spark, staged_rows)
@@ -103,7 +103,7 @@ def reload(spark: SparkSession, raw_folder: str, root: str, config: RunConfig =
     """
     if raw_folder.rstrip("/") == root.rstrip("/"):
         raise ValueError("the output folder must differ from the raw folder")
-    tune(spark)
+    tune(spark, FACT_SETTINGS)
     fingerprint = _fingerprint(spark, raw_folder, config, options)
     before = versions.current(spark, root)
     if before and before.fingerprint == fingerprint and not force:
