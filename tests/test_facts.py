@@ -195,3 +195,46 @@ def test_reports_on_a_shop_without_sales(shop):
     assert by(reports.customer_summary(empty, CONFIG), "customer_id", "net_sales", "is_repeat_customer")["C1"] == (0, False)
     repeat = reports.repeat_customers(empty, CONFIG, keep_empty=False).first()
     assert (repeat["purchasing_customers"], repeat["repeat_customer_rate"]) == (0, None)
+
+
+def test_orders_are_counted_only_for_products_on_the_ranks(spark, shop, monkeypatch):
+    lines = shop["order_lines"].unionByName(spark.createDataFrame([("L7", "O4", "P2", 3, D("10.00"), D("0"))], LINES))
+    model = {**shop, "order_lines": lines}
+    want = by(reports.product_summary(model, CONFIG), "product_id", "net_sales", "completed_orders", "purchasing_customers", "aov", "net_sales_share")
+    counted = []
+    monkeypatch.setattr(reports, "metrics", lambda sales, *a, **k: counted.append(sales.count()) or metrics(sales, *a, **k))
+    top = reports.top_products(model, CONFIG, ranks=1)
+    got = by(top, "product_id", "net_sales", "completed_orders", "purchasing_customers", "aov", "net_sales_share")
+    assert got == {p: want[p] for p in ("P2", "P3")} and counted == [3]
+    assert top.columns == [*reports.product_summary(model, CONFIG).columns, "net_sales_rank"]
+
+
+def test_top_products_keep_repeated_and_unnamed_products(spark, shop):
+    more = spark.createDataFrame([("P3", None, "Lamps", D("1.00")), ("P3", "nP3", "Lamps", D("1.00"))], shop["products"].schema)
+    model = {**shop, "products": shop["products"].unionByName(more)}
+    rows = {tuple(r) for r in reports.top_products(model, CONFIG, ranks=9).drop("net_sales_rank").collect()}
+    assert rows == {tuple(r) for r in reports.product_summary(model, CONFIG).collect()} and len(rows) == 5
+
+
+def _shuffles(spark, frame, key):
+    """Shuffles by ``key`` in the plan when nothing is broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = frame()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return sum(f"Exchange hashpartitioning({key}#" in line for line in plan.splitlines())
+
+
+def test_facts_lie_by_line_and_lines_are_not_shuffled_by_customer(spark, shop):
+    per_line = lambda: facts.line_facts(shop, CONFIG).groupBy("order_line_id").agg(F.sum("refunds"))
+    assert _shuffles(spark, per_line, "order_line_id") == 2 and _shuffles(spark, per_line, "order_id") == 2
+
+
+def test_line_ids_are_not_stored_for_reports(spark, shop):
+    stored = {}
+    lean = facts.prepared(shop, CONFIG, lambda name, frame: stored.setdefault(name, frame), line_ids=False)
+    assert "order_line_id" not in stored["sales_lines"].columns
+    assert checks.all_checks(lean, CONFIG).exceptAll(checks.all_checks(shop, CONFIG)).count() == 0
+    assert "order_line_id" in facts.prepared(shop, CONFIG, lambda name, frame: frame)["sales_lines"].columns
