@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,9 @@ from tallyforge.llm import shingles
 from tallyforge.llm.common import settle
 
 LONGEST, LEAST, BEST = 5, 100, 2000
-# Bits of a filter of frequent names (a fixed 16 MB) and of one of its blocks; entries of stripes and names
-# that a task holds before it hands them on; slices of a stripe; salts of the first round of the ranking.
-FILTER, BLOCK, HELD, NAMED, SLICES, SALTS = 27, 15, 1 << 16, 1 << 21, 256, 64
-# Phrases of up to so many words are counted by name first, longer ones are known by their parts.
-COUNTED = 5
+# Bits of a filter of frequent names (a fixed 16 MB) and of one of its blocks; entries of stripes of words and
+# of names that a task holds before it hands them on; slices of a stripe; salts of the first round of the ranking.
+FILTER, BLOCK, HELD, NAMED, SLICES, SALTS = 27, 15, 1 << 17, 1 << 20, 256, 64
 
 # What ends a piece, and what separates words.
 _ENDS = np.zeros(256, bool)
@@ -63,14 +61,14 @@ def _words(texts: list[bytes], langs: list[str]):
 def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
     """Texts (body) and languages of a batch, a bounded number of bytes at a time: a text longer than that is
     cut at the next end of a piece."""
-    texts, langs, size = [], [], 0
+    texts, langs, size, most = [], [], 0, shingles.PORTION // 4
     for value, lang in zip(batch.column("body").cast(pa.binary()), batch.column("lang").to_pylist()):
         text, at = value.as_py(), 0
         while at < len(text):
-            end = _END.search(text, at + shingles.PORTION) if len(text) - at > shingles.PORTION else None
+            end = _END.search(text, at + most) if len(text) - at > most else None
             part = text[at : end.end()] if end else text[at:]
             at += len(part)
-            if texts and size + len(part) > shingles.PORTION:
+            if texts and size + len(part) > most:
                 yield texts, langs
                 texts, langs, size = [], [], 0
             texts.append(part), langs.append("und" if lang is None else lang)
@@ -79,9 +77,17 @@ def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
         yield texts, langs
 
 
+def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Names of phrases by the names of their prefixes and of their last words."""
+    return shingles.mix(prefix * shingles._PLACE[0] + word)
+
+
 def _names(hashes: np.ndarray, size: int) -> np.ndarray:
     """Names of all runs of ``size`` words."""
-    return hashes if size == 1 else shingles.windows(hashes, size)
+    out = hashes
+    for k in range(1, size):
+        out = _longer(out[:-1], hashes[k:])
+    return out
 
 
 def _passed(names: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -149,14 +155,24 @@ def stripes(batches: Iterator[pa.RecordBatch], sizes: Iterable[int], filters: li
         yield flush()
 
 
-def _merged(texts: DataFrame, sizes: list[int], filters: list[Broadcast]) -> DataFrame:
+def _merged(texts: DataFrame, sizes: list[int], named: list[DataFrame]) -> DataFrame:
     """Merged stripes of phrases of ``sizes`` words: lang, prefix, word, f.
 
     Slices of a stripe meet by language, prefix and slice, and are added up entry by entry, so the stripe
-    of a hot prefix is spread and no stripe is ever one row.
+    of a hot prefix is spread and no stripe is ever one row. Stripes that were merged by names are put in
+    words: ``named`` holds the words (lang, word, name) and then the entries of each size (``_entries``).
     """
+    if named:
+        word = named[0].select("lang", "word", F.col("name").alias("last"))
+        known = named[0].select(F.col("word").alias("prefix"), F.col("name").alias("first"))
+        out = []
+        for entries in named[1:]:
+            level = entries.join(known, "first").join(word, "last").select("lang", "prefix", "word", "f", "name")
+            out.append(settle(level, "phrases-level"))
+            known = out[-1].select(F.concat_ws(" ", "prefix", "word").alias("prefix"), F.col("name").alias("first"))
+        return reduce(DataFrame.unionByName, out).drop("name")
     kind = "lang string, prefix binary, slice int, next array<binary>, counts array<long>"
-    sliced = texts.mapInArrow(lambda batches: stripes(batches, sizes, [f.value for f in filters]), kind)
+    sliced = texts.mapInArrow(lambda batches: stripes(batches, sizes, []), kind)
     entry = F.explode(F.arrays_zip("next", "counts"))
     return (
         sliced.repartition("lang", "prefix", "slice")
@@ -166,54 +182,74 @@ def _merged(texts: DataFrame, sizes: list[int], filters: list[Broadcast]) -> Dat
     )
 
 
-def _named(texts: DataFrame, size: int, filters: list[Broadcast], least: int) -> DataFrame:
-    """Names of ``size`` words that are counted ``least`` times or more: at. Phrases that share a name are
-    counted together, so all frequent ones are among them."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries (prefix, word, count) added up. Should two entries share a name they may stay in several rows,
+    but never become one."""
+    first, last, counts = (np.concatenate(p) for p in zip(*parts))
+    order = np.argsort(_longer(first, last))
+    first, last, counts = first[order], last[order], counts[order]
+    at = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (last[1:] != last[:-1])))
+    return first[at], last[at], np.add.reduceat(counts, at)
+
+
+def _entries(texts: DataFrame, size: int, sent: Broadcast, least: int) -> DataFrame:
+    """Merged stripes of the phrases of ``size`` words by names: the names of the prefix (first) and of the next
+    word (last), f, and the name of the phrase; only entries that are counted ``least`` times or more.
+    ``sent`` is the filter of phrases one word shorter."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Runs one word shorter are all that is looked up.
-        known = [*[None] * (len(filters) - 1), filters[-1].value]
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         held = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            names, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            return names, np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
-
-        def out() -> pa.RecordBatch:
-            names, counts = merged()
-            return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(counts)], names=["name", "n"])
+        def out(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)) for p in part], names=["first", "last", "n"])
 
         for batch in batches:
             for texts_, own in _portions(batch):
                 _, _, _, hashes, _, after = _words(texts_, own)
-                keep = _possible(hashes, after, size, known)
-                parts.append(np.unique(_names(hashes, size)[: len(keep)][keep], return_counts=True))
+                shorter = _names(hashes, size - 1)
+                good = _passed(shorter, sent.value)
+                keep = np.flatnonzero(good[:-1] & good[1:] & (after[: max(0, len(shorter) - 1)] >= size - 1))
+                if not len(keep):
+                    continue
+                parts.append(_summed([(shorter[keep], hashes[keep + size - 1], np.ones(len(keep), np.int64))]))
                 held += len(parts[-1][0])
                 if held >= NAMED:
-                    parts = [merged()]
+                    parts = [_summed(parts)]
                     held = len(parts[0][0])
                     if held >= NAMED // 2:
-                        yield out()
+                        yield out(parts[0])
                         parts, held = [], 0
         if parts:
-            yield out()
+            yield out(_summed(parts))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, last = (batch.column(c).to_numpy().view(np.uint64) for c in ("first", "last"))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(_longer(first, last).view(np.int64))], names=["first", "last", "f", "name"]
+            )
 
-    counts = texts.mapInArrow(counted, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    return counts.where(F.col("n") >= least).select(F.shiftrightunsigned("name", 64 - FILTER).alias("at"))
+    kind = "first long, last long, {} long"
+    counts = texts.mapInArrow(counted, kind.format("n")).groupBy("first", "last").agg(F.sum("n").alias("f"))
+    return counts.where(F.col("f") >= least).mapInArrow(named, kind.format("f") + ", name long")
 
 
 def _words_named(frequent: DataFrame) -> DataFrame:
-    """The names of frequent words (lang, word): at."""
+    """Frequent words with their names: lang, word, f, name."""
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 texts = [w.encode() for w in batch.column("word").to_pylist()]
-                at = _words(texts, batch.column("lang").to_pylist())[3] >> np.uint64(64 - FILTER)
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(at).astype(np.int64))], names=["at"])
+                found = _words(texts, batch.column("lang").to_pylist())[3]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=["lang", "word", "f", "name"])
+
+    return frequent.select("lang", "word", "f").mapInArrow(names, "lang string, word string, f long, name long")
 
-    return frequent.select("lang", "word").mapInArrow(places, "at long")
+
+def _places(named: DataFrame) -> DataFrame:
+    return named.select(F.shiftrightunsigned("name", 64 - FILTER).alias("at"))
 
 
 def _filter(places: DataFrame) -> Broadcast:
@@ -249,11 +285,12 @@ def mine(
 
     One structure answers all of it: the stripes, one for each prefix, count next words. Their entries are
     the phrases' counts (extensions), the entries of the level below are the totals of prefixes and rests,
-    and the greatest entry of a stripe, or of the stripes that end alike, is the subsumption maximum. Only
-    phrases that may be frequent get an entry: words first, then names (64-bit hashes) of two, three and up to
-    COUNTED words are counted, each over what the one before lets pass, and filters of a fixed size keep what
-    is frequent; still longer phrases need all their parts of COUNTED words. Counts and comparisons are over the words
-    themselves and all texts.
+    and the greatest entry of a stripe, or of the stripes that end alike, is the subsumption maximum. Words
+    are counted as they are. Stripes of two, three and more words are read off the whole texts one length
+    after the other and merged by names: an entry is the pair of the 64-bit hashes of its prefix and of its
+    next word. A filter of a fixed size rules out entries with a part one word shorter that is not frequent.
+    What is frequent gets its words by joins with the words and the phrases one word shorter, so texts of
+    phrases never leave a task and each frequent phrase is written out once.
 
     A null text is empty and a null language ``und``; repeated rows count each; an empty table gives an empty
     result; equal scores and counts are ranked by the phrase's bytes; other columns are left out, whatever
@@ -265,16 +302,17 @@ def mine(
         raise ValueError("longest must be 2 or more")
     single = settle(_merged(texts, [1], []), "phrases-words")
     totals = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = single.where(F.col("f") >= least)
-    filters = [_filter(_words_named(frequent))]
-    for size in range(2, min(COUNTED, longest) + 1):
-        filters.append(_filter(_named(texts, size, filters, least)))
-    several = _merged(texts, list(range(2, longest + 1)), filters).where(F.col("f") >= least)
-    # Words hold no blank, so blanks tell the length. The filters are part of the plan: it is settled here.
-    size = F.char_length("prefix") - F.char_length(F.replace("prefix", F.lit(" "), F.lit(""))) + 2
-    candidates = settle(several.withColumns({"size": size, "phrase": F.concat_ws(" ", "prefix", "word")}), "phrases-several")
-    for sent in filters:
+    frequent = settle(_words_named(single.where(F.col("f") >= least)), "phrases-frequent")
+    named, sizes = [frequent], list(range(2, longest + 1))
+    for size in sizes:
+        sent = _filter(_places(named[-1]))
+        # The filter is part of the plan: it is settled here.
+        named.append(settle(_entries(texts, size, sent, least), "phrases-entries"))
         sent.unpersist()
+    several = _merged(texts, sizes, named)
+    # Words hold no blank, so blanks tell the length.
+    size = F.char_length("prefix") - F.char_length(F.replace("prefix", F.lit(" "), F.lit(""))) + 2
+    candidates = several.withColumns({"size": size, "phrase": F.concat_ws(" ", "prefix", "word")})
     counts = frequent.select("lang", F.col("word").alias("phrase"), "f").unionByName(candidates.select("lang", "phrase", "f"))
 
     # Subsumption: the greatest extension of a phrase to the right is in its own stripe, the greatest to

@@ -304,3 +304,34 @@ def test_only_frequent_phrases_of_any_length_are_handed_on(spark, monkeypatch):
     got = phrases.mine(frame(spark, rows), least=5)
     assert sorted(map(tuple, got.collect())) == plain_phrases([r[1:] for r in rows], 5)
     assert {r["prefix"] + " " + r["word"] for r in seen[-1].collect()} == {"a b", "b c", "c d", "a b c", "b c d"}
+
+
+def test_each_frequent_phrase_is_written_out_once(spark, monkeypatch):
+    """However many tasks read the texts, only frequent phrases are put in words, once each."""
+    rows = [(i, "a b c d e. " + " ".join(f"w{i}x{k}" for k in range(20)), "en" if i % 2 else None) for i in range(40)]
+    written = Counter()
+    settle = phrases.settle
+
+    def count(frame_, name):
+        out = settle(frame_, name)
+        written[name] += out.count()
+        return out
+
+    monkeypatch.setattr(phrases, "settle", count)
+    want = plain_phrases([r[1:] for r in rows], 5)
+    for parts in (1, 16):
+        written.clear()
+        assert sorted(map(tuple, phrases.mine(frame(spark, rows).repartition(parts), least=5).collect())) == want and want
+        # Of two languages: ten phrases of two to five words each.
+        assert written["phrases-entries"] == written["phrases-level"] == 20
+
+
+def test_entries_of_one_name_are_not_added_up(monkeypatch):
+    part = tuple(np.array(c, d) for c, d in (([1, 2, 1, 1], np.uint64), ([5, 5, 5, 6], np.uint64), ([1, 1, 2, 1], np.int64)))
+    want = {(1, 5): 3, (2, 5): 1, (1, 6): 1}
+    for longer in (phrases._longer, lambda first, last: np.zeros(len(first), np.uint64)):
+        monkeypatch.setattr(phrases, "_longer", longer)
+        got = Counter()
+        for a, b, n in zip(*(c.tolist() for c in phrases._summed([part, part]))):
+            got[a, b] += n
+        assert got == {k: 2 * n for k, n in want.items()}
