@@ -18,8 +18,9 @@ from tallyforge.llm.common import settle, slices
 # Bytes of a repeat, and of the shorter one that a passage of 50 words reaches (four letters and a blank
 # each). The strings that say where equal windows meet have GRAM hundredths of that.
 LENGTH, PASSAGE, GRAM = 400, 250, 32
-# Bytes an index holds; sections of one anchor beyond which they are compared by counting instead.
-INDEX_BYTES, HOT = 1 << 19, 1000
+# Bytes an index holds; sections of one anchor beyond which they are compared by counting instead; bytes of
+# texts whose anchors are sought at once. Arrays of an index and of such a group fit the caches of a core.
+INDEX_BYTES, HOT, GROUP = 1 << 17, 1000, 1 << 16
 # Rows and stretches (a few dozen bytes each) that may be broadcast.
 SENT = 500_000
 # Positions of a stretch fit in PLACE bits of the packed hash.
@@ -50,7 +51,7 @@ def anchors(texts: list[bytes], length: int = LENGTH) -> list[tuple[int, np.ndar
     group: list[tuple[int, bytes]] = []
     size = 0
     for item in [*long_, None]:
-        if group and (item is None or size + len(item[1]) >= 1 << PLACE):
+        if group and (item is None or size + len(item[1]) >= GROUP):
             out += _anchors_of(group, length)
             group, size = [], 0
         if item is not None:
@@ -95,24 +96,33 @@ def _anchors_of(group: list[tuple[int, bytes]], length: int) -> list[tuple[int,
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling from seven symbols (below 512) at a time."""
+    """Suffix array from seven symbols (below 512) at a time, then from as many ranks as fit a key: each round
+    sorts only the suffixes that are still tied, within their places."""
     n = len(symbols)
     padded = np.concatenate((symbols.astype(np.int64) + 1, np.zeros(7, np.int64)))
     key = np.zeros(n, np.int64)
     for k in range(7):
         key = key * 512 + padded[k : n + k]
-    length = 7
+    length, many = 7, 63 // (n + 2).bit_length()
+    order = np.empty(n, np.int64)
+    # Ranks are the first place of equal suffixes, from 1; 0 is past the end.
+    rank = np.zeros(n + 1, np.int64)
+    places = tied = np.arange(n)
     while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        fresh = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-        if fresh[-1] == n - 1:
+        by = np.argsort(key)
+        tied, key = tied[by], key[by]
+        order[places] = tied
+        equal = key[1:] == key[:-1]
+        heads = np.flatnonzero(np.append(True, ~equal))
+        rank[tied] = np.repeat(places[heads], np.diff(heads, append=len(key))) + 1
+        more = np.append(equal, False) | np.append(False, equal)
+        places, tied = places[more], tied[more]
+        if not len(tied):
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh + 1
-        key = rank * (n + 2)
-        key[: max(0, n - length)] += rank[length:]
-        length *= 2
+        key = rank[tied]
+        for k in range(1, many):
+            key = key * (n + 2) + rank[np.minimum(tied + k * length, n)]
+        length *= many
 
 
 def _common(symbols: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:

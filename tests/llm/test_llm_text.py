@@ -434,3 +434,18 @@ def test_bpe_of_a_run_of_a_megabyte():
         assert codec.decode(codec.encode([word])) == [word.encode()]
         codec.prepare(["a"])
         assert word not in codec.ids
+
+
+def test_only_tied_suffixes_are_sorted_again(monkeypatch):
+    rng = np.random.default_rng(5)
+    part = rng.integers(0, 256, 3000)
+    for symbols in (np.concatenate((rng.integers(0, 256, 20_000), part, [256], part, [256])), np.zeros(300), np.tile([1, 2, 3], 200), np.array([256])):
+        symbols = np.append(symbols, 256).astype(np.int16)
+        text = symbols.astype(">i2").tobytes()
+        sorted_, argsort = [], np.argsort
+        with monkeypatch.context() as m:
+            m.setattr(np, "argsort", lambda x, *a: sorted_.append(len(x)) or argsort(x, *a))
+            got = repeats.suffix_array(symbols)
+        assert got.tolist() == sorted(range(len(symbols)), key=lambda i: text[2 * i :])
+        if len(symbols) > 20_000:
+            assert sorted_[0] == len(symbols) and max(sorted_[1:]) <= 2 * len(part) + 4
