@@ -155,6 +155,6 @@ def write_evidence(labelled: Mapping[str, DataFrame], out_folder: str, config: R
 
 
 def write_facts(spark: SparkSession, model: Mapping[str, DataFrame], out_folder: str, config: RunConfig) -> None:
-    facts = _stored(spark, line_facts(model, config), f"{out_folder}/analysis/fact_order_lines")
+    facts = _stored(spark, line_facts(model, config, by_line=False), f"{out_folder}/analysis/fact_order_lines")
     sales = facts.filter(F.col("include_in_sales_kpi"))
     sales.write.mode("overwrite").parquet(f"{out_folder}/analysis/sales_fact_completed")
