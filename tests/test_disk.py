@@ -102,6 +102,10 @@ def test_orphans_are_the_rows_without_a_parent(spark):
     value = lambda name: field_value(spec, name, CONFIG)
     assert flags(with_parent_flags(frame, spec, parents(spark), value, settler(spark))) == want
     assert flags(with_parent_flags(frame, spec, parents(spark), value)) == want
+    twice = {n: p.unionByName(p) if n == "orders" else p for n, p in parents(spark).items()}
+    for settle in (settler(spark), None):
+        numbers = [r["source_row"] for r in with_parent_flags(frame, spec, twice, value, settle).collect()]
+        assert sorted(numbers) == [2, 2, 3, 4, 5]
     # A missing key that nobody has read yet is no parent's either.
     assert flags(with_parent_flags(frame, spec, parents(spark), F.col, settler(spark)))[4] == (False, False)
 
